@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from patronlens import contract as C
 from patronlens.functions import ratio_or_zero, segment_code, zero_if_missing
-from patronlens.operators.percentiles import approximate_percentiles, exact_percentiles
+from patronlens.operators.percentiles import approximate_percentiles, exact_percentiles, percentiles_by_rank
+
+METHODS = {"exact": exact_percentiles, "by_rank": percentiles_by_rank, "approximate": approximate_percentiles}
 
 
 @dataclass(frozen=True)
@@ -21,9 +23,8 @@ class Thresholds:
 
 
 def threshold_table(features: DataFrame, method: str = "exact") -> DataFrame:
-    """One row with both 80th percentiles. Pass a stored table: the exact method reads it three times."""
-    find = {"exact": exact_percentiles, "approximate": approximate_percentiles}[method]
-    found = find(features, ["total_spent", "total_transactions"], [C.HIGH_SHARE])
+    """One row with both 80th percentiles: ``exact``, ``by_rank`` (exact too) or ``approximate``. Pass a stored table."""
+    found = METHODS[method](features, ["total_spent", "total_transactions"], [C.HIGH_SHARE])
     return found.agg(
         F.max(F.when(F.col("column_name") == "total_spent", F.col("value"))).alias("total_spent_p80"),
         F.max(F.when(F.col("column_name") == "total_transactions", F.col("value"))).alias("total_transactions_p80"),

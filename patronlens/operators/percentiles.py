@@ -8,23 +8,33 @@ from pyspark.sql import functions as F
 from patronlens.operators.ranking import rows_at_ranks
 
 SLICES = 256
+ROWS_IN_ONE_TASK = 1_000_000
 
 
 def exact_percentiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 2000
+    df: DataFrame, columns: list[str], probabilities: list[float], in_one_task: int = ROWS_IN_ONE_TASK
 ) -> DataFrame:
     """``(column_name, probability, value)``, interpolating linearly between the two nearest values.
 
-    The built-in ``percentile`` keeps every distinct value of a column in one task. This one brackets each
-    percentile between two sketch quantiles, counts the values per slice of the brackets, and orders only
-    the slice that holds the wanted rank. The sketch decides how much is ordered, never the result. Nulls and
-    NaN are left out. ``df`` is read three times: pass a stored table.
+    The built-in ``percentile`` keeps every distinct value of a column in one task, so it serves tables counted
+    at no more than ``in_one_task`` rows; larger ones go by rank. Nulls and NaN are left out. Pass a stored table.
     """
-    values = df.select([F.col(name).cast("double").alias(name) for name in columns]).unpivot(
-        [], columns, "column_name", "value"
-    )
-    values = values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    if df.count() <= in_one_task:
+        values = _unpivoted(df, columns).groupBy("column_name")
+        return _one_row_each(values.agg(F.percentile("value", probabilities).alias("found")), probabilities)
+    return percentiles_by_rank(df, columns, probabilities)
 
+
+def percentiles_by_rank(
+    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 2000
+) -> DataFrame:
+    """The same without an ordered group that grows with the table.
+
+    Each percentile is bracketed between two sketch quantiles, the values are counted per slice of the brackets,
+    and only the slice that holds the wanted rank is ordered. The sketch decides how much is ordered, never the
+    result. ``df`` is read three times: pass a stored table.
+    """
+    values = _unpivoted(df, columns)
     margin = 2.0 / accuracy
     edges = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
     brackets = values.groupBy("column_name").agg(F.percentile_approx("value", edges, accuracy).alias("edges"))
@@ -59,14 +69,21 @@ def approximate_percentiles(
     df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 10000
 ) -> DataFrame:
     """The same shape from one pass with a sketch; no interpolation, rank error up to 1 / accuracy."""
-    values = df.select([F.col(name).cast("double").alias(name) for name in columns]).unpivot(
-        [], columns, "column_name", "value"
-    )
-    found = values.where(~F.isnan("value")).groupBy("column_name").agg(
-        F.percentile_approx("value", probabilities, accuracy).alias("found")
-    )
-    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in probabilities]).alias("probability"), F.col("found").alias("value"))
-    return found.select("column_name", F.inline(pairs))
+    found = F.percentile_approx("value", probabilities, accuracy).alias("found")
+    return _one_row_each(_unpivoted(df, columns).groupBy("column_name").agg(found), probabilities)
+
+
+def _unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
+    doubles = df.select([F.col(name).cast("double").alias(name) for name in columns])
+    values = doubles.unpivot([], columns, "column_name", "value")
+    return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def _one_row_each(found: DataFrame, probabilities: list[float]) -> DataFrame:
+    pairs = [
+        F.struct(F.lit(p).alias("probability"), F.col("found")[i].alias("value")) for i, p in enumerate(probabilities)
+    ]
+    return found.select("column_name", F.inline(F.array(*pairs)))
 
 
 def _position(size: Column, probability: float) -> Column:

@@ -27,9 +27,10 @@ def rows_at_ranks(
     Ranks outside the stratum give no row. Strata must be few. ``df`` is read twice: pass a stored table.
     """
     stratum = Window.partitionBy(*strata)
+    earlier = stratum.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     counts = df.groupBy(*strata, bucket).agg(F.count(F.lit(1)).alias("_in_bucket"))
     wanted = (
-        counts.withColumn("_before", F.sum("_in_bucket").over(stratum.orderBy(bucket)) - F.col("_in_bucket"))
+        counts.withColumn("_before", F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)))
         .withColumn("_size", F.sum("_in_bucket").over(stratum))
         .withColumn("_target", F.explode(targets(F.col("_size"))))
         .where(F.col("_target.rank") > F.col("_before"))
@@ -44,7 +45,7 @@ def rows_at_ranks(
         .groupBy(*strata, "_target", "_before", *keys)
         .agg(F.count(F.lit(1)).alias("_ties"))
     )
-    in_order = Window.partitionBy(*strata, "_target").orderBy(*keys)
+    in_order = Window.partitionBy(*strata, "_target").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     return (
         candidates.withColumn("_last", F.col("_before") + F.sum("_ties").over(in_order))
         .where(F.col("_target.rank") <= F.col("_last"))

@@ -115,6 +115,10 @@ WITH = f"""
 """
 
 INPUTS = ", ".join(f"CAST({name} AS DOUBLE) AS {name}" for name in C.MODEL_FEATURES)
+P80 = """
+    SELECT quantile_cont(total_spent, 0.8) AS total_spent_p80,
+           quantile_cont(CAST(total_transactions AS DOUBLE), 0.8) AS total_transactions_p80 FROM labeled
+"""
 CHURN_RATE = "avg(CASE WHEN is_churned THEN 1 ELSE 0 END) * 100"
 SCALED = ", ".join(
     f"round((CAST({name} AS DOUBLE) - (SELECT avg({name}) FROM split WHERE NOT is_test)) / "
@@ -203,9 +207,8 @@ ORACLE: dict[str, str] = {
     "churn_rate_by_segment": f"""{WITH}
         SELECT u.customer_segment, {CHURN_RATE} AS churn_rate
         FROM ({PROFILES}) u JOIN labeled f ON f.user_id = u.user_id GROUP BY u.customer_segment ORDER BY churn_rate DESC""",
-    "p80_thresholds": f"""{WITH}
-        SELECT quantile_cont(total_spent, 0.8) AS total_spent_p80,
-               quantile_cont(CAST(total_transactions AS DOUBLE), 0.8) AS total_transactions_p80 FROM labeled""",
+    "p80_thresholds": WITH + P80,
+    "p80_thresholds_by_rank": WITH + P80,
     "engineered_features": f"{WITH} SELECT user_id, {', '.join(C.MODEL_FEATURES)}, is_churned AS actual_churn FROM engineered",
     "model_matrix": f"{WITH} SELECT user_id, {INPUTS}, CAST(is_churned AS INTEGER) AS label FROM engineered",
     "class_weights": f"""{WITH}

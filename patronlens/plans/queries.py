@@ -304,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customers_by_segment": lambda s, d: reports.customers_by_segment(_profiles(s, d)),
     "churn_rate_by_segment": lambda s, d: reports.churn_rate_by_segment(_profiles(s, d), _labeled(s, d)),
     "p80_thresholds": lambda s, d: engineered.threshold_table(_stored_features(s, d)),
+    "p80_thresholds_by_rank": lambda s, d: engineered.threshold_table(_stored_features(s, d), "by_rank"),
     "engineered_features": engineered_features,
     "model_matrix": model_matrix,
     "class_weights": lambda s, d: dataset.class_weights(_labeled(s, d).select(F.col("is_churned").cast("int").alias("label"))),
