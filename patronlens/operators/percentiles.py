@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.operators.ranking import rows_at_ranks
 
-SLICES = 256
 ROWS_IN_ONE_TASK = 1_000_000
+SKETCH_ACCURACY = 2000
+SLICES = 256
 
 
 def exact_percentiles(
@@ -20,80 +24,76 @@ def exact_percentiles(
     at no more than ``in_one_task`` rows; larger ones go by rank. Nulls and NaN are left out. Pass a stored table.
     """
     if df.count() <= in_one_task:
-        values = _unpivoted(df, columns).groupBy("column_name")
-        return _one_row_each(values.agg(F.percentile("value", probabilities).alias("found")), probabilities)
+        return _in_rows(df, columns, probabilities, lambda value: F.percentile(value, probabilities))
     return percentiles_by_rank(df, columns, probabilities)
 
 
-def percentiles_by_rank(
-    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 2000
+def approximate_percentiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 10000
 ) -> DataFrame:
-    """The same without an ordered group that grows with the table.
+    """The same shape from one pass with a sketch; no interpolation, rank error up to 1 / accuracy."""
+    return _in_rows(df, columns, probabilities, lambda value: F.percentile_approx(value, probabilities, accuracy))
+
+
+def percentiles_by_rank(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
+    """Exact percentiles without an ordered group that grows with the table.
 
     Each percentile is bracketed between two sketch quantiles, the values are counted per slice of the brackets,
     and only the slice that holds the wanted rank is ordered. The sketch decides how much is ordered, never the
-    result. ``df`` is read three times: pass a stored table.
+    result. Runs three jobs over ``df``: pass a stored table.
     """
-    values = _unpivoted(df, columns)
-    margin = 2.0 / accuracy
-    edges = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
-    brackets = values.groupBy("column_name").agg(F.percentile_approx("value", edges, accuracy).alias("edges"))
-    # One row per column.
-    sliced = values.join(F.broadcast(brackets), "column_name").select(
-        "column_name", "value", _slice(F.col("value"), F.col("edges"), len(edges)).alias("slice")
-    )
-
-    def targets(size: Column) -> Column:
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(p).alias("probability"),
-                    F.lit(upper).alias("upper"),
-                    (_position(size, p) - F.floor(_position(size, p))).alias("fraction"),
-                    ((F.ceil if upper else F.floor)(_position(size, p)) + 1).alias("rank"),
-                )
-                for p in probabilities
-                for upper in (False, True)
-            ]
-        )
-
-    neighbours = rows_at_ranks(sliced, ["column_name"], "slice", ["value"], targets)
-    lower = F.max(F.when(~F.col("upper"), F.col("value")))
-    upper = F.max(F.when(F.col("upper"), F.col("value")))
-    return neighbours.groupBy("column_name", "probability").agg(
-        (lower + F.max("fraction") * (upper - lower)).alias("value")
+    margin = 2.0 / SKETCH_ACCURACY
+    around = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
+    # A few numbers per column come to the driver and go back as constants.
+    edges = df.agg(*[F.percentile_approx(_value(name), around, SKETCH_ACCURACY).alias(name) for name in columns]).first()
+    values = reduce(
+        DataFrame.union,
+        [
+            df.select(F.lit(i).alias("column"), _value(name).alias("value"))
+            .where(F.col("value").isNotNull())
+            .withColumn("slice", _slice(F.col("value"), sorted(edges[name] or [])))
+            for i, name in enumerate(columns)
+        ],
     )
 
+    def ranks(size: Column) -> list[Column]:
+        position = [(size - 1).cast("double") * p for p in probabilities]
+        return [rounded(x) + 1 for x in position for rounded in (F.floor, F.ceil)]
 
-def approximate_percentiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 10000
-) -> DataFrame:
-    """The same shape from one pass with a sketch; no interpolation, rank error up to 1 / accuracy."""
-    found = F.percentile_approx("value", probabilities, accuracy).alias("found")
-    return _one_row_each(_unpivoted(df, columns).groupBy("column_name").agg(found), probabilities)
+    # Targets 2i and 2i + 1 are the neighbours below and above percentile i.
+    found = {(row.stratum, row.target): row for row in rows_at_ranks(values, "column", "slice", ["value"], ranks)}
+    lines = []
+    for (column, target), row in found.items():
+        if target % 2 == 0:
+            below, above = row.keys["value"], found[column, target + 1].keys["value"]
+            fraction = math.modf((row.stratum_rows - 1) * probabilities[target // 2])[0]
+            lines.append((columns[column], probabilities[target // 2], below + fraction * (above - below)))
+    return df.sparkSession.createDataFrame(lines, "column_name string, probability double, value double")
 
 
-def _unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
-    doubles = df.select([F.col(name).cast("double").alias(name) for name in columns])
-    values = doubles.unpivot([], columns, "column_name", "value")
-    return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+def _value(name: str) -> Column:
+    """The column as a double, without NaN."""
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
 
 
-def _one_row_each(found: DataFrame, probabilities: list[float]) -> DataFrame:
-    pairs = [
-        F.struct(F.lit(p).alias("probability"), F.col("found")[i].alias("value")) for i, p in enumerate(probabilities)
+def _in_rows(df: DataFrame, columns: list[str], probabilities: list[float], found) -> DataFrame:
+    """One row per column and probability from one aggregate that yields an array per column."""
+    lines = [
+        F.struct(F.lit(name).alias("column_name"), F.lit(p).alias("probability"), F.col(name)[i].alias("value"))
+        for name in columns
+        for i, p in enumerate(probabilities)
     ]
-    return found.select("column_name", F.inline(F.array(*pairs)))
-
-
-def _position(size: Column, probability: float) -> Column:
-    return (size - 1).cast("double") * F.lit(probability)
-
-
-def _slice(value: Column, edges: Column, edge_count: int) -> Column:
-    """Number of the slice that ``value`` falls into: ordered, and fine between neighbouring edges."""
-    below = sum(((value > edges[i]).cast("int") for i in range(edge_count)), F.lit(0))
-    left, right = edges[F.greatest(below - 1, F.lit(0))], edges[F.least(below, F.lit(edge_count - 1))]
-    inside = F.nanvl((value - left) / (right - left) * (SLICES - 1), F.lit(0.0))
-    fine = F.when((below > 0) & (below < edge_count) & (left < right), F.floor(inside)).otherwise(F.lit(0))
-    return (below * SLICES + fine).cast("int")
+    arrays = df.agg(*[found(_value(name)).alias(name) for name in columns])
+    return arrays.select(F.inline(F.array(*lines))).where(F.col("value").isNotNull())
+
+
+def _slice(value: Column, edges: list[float]) -> Column:
+    """Number of the slice that ``value`` falls into: it grows with the value, and is fine between the edges."""
+    number = F.lit(len(edges) * SLICES)
+    for i in reversed(range(len(edges))):
+        width = edges[i] - edges[i - 1] if i else 0.0
+        fine = F.lit(0)
+        if 0 < width < math.inf:
+            fine = F.least(F.floor((value - edges[i - 1]) / width * (SLICES - 1)), F.lit(SLICES - 1)).cast("int")
+        number = F.when(value <= edges[i], fine + i * SLICES).otherwise(number)
+    return number

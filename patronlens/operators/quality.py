@@ -44,23 +44,25 @@ def range_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, minimum, maximum, mean and exact quartiles per numeric column. Pass a stored table."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     columns = columns or numeric
-    values = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
-    totals = (
-        values.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_name")
-        .agg(
-            F.count("value").alias("value_count"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-            F.avg("value").alias("mean_value"),
-        )
-    )
+    plain = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
+    totals = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(value).alias("value_count"),
+                F.min(value).alias("min_value"),
+                F.max(value).alias("max_value"),
+                F.avg(value).alias("mean_value"),
+            ).alias(c)
+            for c, value in zip(columns, plain, strict=True)
+        ]
+    ).select(F.inline(F.array(*columns)))
     quartiles = (
         exact_percentiles(df, columns, QUARTILES)
         .groupBy("column_name")
         .agg(*[F.max(F.when(F.col("probability") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES])
     )
-    return totals.join(quartiles, "column_name")
+    return totals.join(quartiles, "column_name", "left")  # a column without values has no quartiles
 
 
 def range_violations(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
