@@ -67,7 +67,8 @@ def percentiles_by_rank(df: DataFrame, columns: list[str], probabilities: list[f
         if target % 2 == 0:
             below, above = row.keys["value"], found[column, target + 1].keys["value"]
             fraction = math.modf((row.stratum_rows - 1) * probabilities[target // 2])[0]
-            lines.append((columns[column], probabilities[target // 2], below + fraction * (above - below)))
+            value = below + fraction * (above - below) if fraction else below  # the neighbour may be infinite
+            lines.append((columns[column], probabilities[target // 2], value))
     return df.sparkSession.createDataFrame(lines, "column_name string, probability double, value double")
 
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.joins import join_dimension
 
+# The names that stand for payment methods here.
+ORDER_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
 
 def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -1,0 +1,85 @@
+import math
+
+import numpy as np
+import pytest
+
+from patronlens.operators import percentiles
+from patronlens.operators.engineered import Thresholds, fit_thresholds, model_matrix, threshold_table, with_engineered_features
+from tests import samples
+
+rng = np.random.default_rng(5)
+SAMPLES = {
+    "uniform": rng.uniform(0, 1, 5000),
+    "heavy tail": rng.lognormal(0, 3, 5000),
+    "a third equal": np.where(np.arange(5000) % 3 == 0, 7.0, rng.uniform(0, 20, 5000)),
+    "all equal": np.full(500, 3.0),
+    "two values": np.repeat([1.0, 2.0], [400, 100]),
+    "integers": rng.integers(0, 20, 5000).astype(float),
+    "negative": -rng.lognormal(0, 2, 999),
+    "one": np.array([4.0]),
+    "two": np.array([4.0, 9.0]),
+    "six": np.arange(6.0),
+    "infinite": np.array([-math.inf, 1.0, 2.0, 3.0, math.inf, math.inf]),
+}
+
+
+@pytest.mark.parametrize("name", SAMPLES)
+@pytest.mark.parametrize("method", ["one task", "by rank"])
+def test_percentiles_match_numpy(spark, name, method):
+    values = SAMPLES[name]
+    noise = [(None,), (math.nan,)]
+    df = spark.createDataFrame([(float(v),) for v in values] + noise, "x double").repartition(5)
+    wanted = [0.0, 0.25, 0.5, 0.8, 1.0] if name != "infinite" else [0.2, 0.4, 0.6]
+    find = percentiles.percentiles_by_rank if method == "by rank" else percentiles.exact_percentiles
+    found = {row["probability"]: row["value"] for row in find(df, ["x"], wanted).collect()}
+    assert set(found) == set(wanted)
+    expected = {0.2: 1.0, 0.4: 2.0, 0.6: 3.0} if name == "infinite" else {p: np.quantile(values, p) for p in wanted}
+    for p in wanted:
+        assert found[p] == pytest.approx(expected[p], rel=1e-12)
+
+
+def test_several_columns_and_an_empty_one(spark):
+    df = spark.createDataFrame([(i, float(i * i), None) for i in range(101)], "a int, b double, c double")
+    for in_one_task in (0, 1000):
+        found = percentiles.exact_percentiles(df, ["a", "b", "c"], [0.5], in_one_task)
+        assert sorted(found.collect()) == [("a", 0.5, 50.0), ("b", 0.5, 2500.0)]
+
+
+def test_approximate_percentile_is_a_value_near_the_rank(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1000)], "x double")
+    value = percentiles.approximate_percentiles(df, ["x"], [0.8]).first()["value"]
+    assert 795 <= value <= 805
+
+
+@pytest.mark.parametrize("method", ["exact", "by_rank"])
+def test_ties_at_the_threshold_are_not_flagged(spark, method):
+    rows = samples.feature_rows(10)
+    rows = [(*r[:3], 5, 100.0, *r[5:]) for r in rows[:8]] + [(*r[:3], 9, 200.0, *r[5:]) for r in rows[8:]]
+    df = samples.features(spark, rows)
+    thresholds = fit_thresholds(df, method)
+    assert thresholds.total_spent == pytest.approx(np.quantile([100.0] * 8 + [200.0] * 2, 0.8))
+    assert thresholds.total_transactions == pytest.approx(np.quantile([5] * 8 + [9] * 2, 0.8))
+    flagged = with_engineered_features(df, Thresholds(200.0, 5.0))
+    assert flagged.agg({"high_value_customer": "sum", "frequent_buyer": "sum"}).first().asDict() == {
+        "sum(high_value_customer)": 0,
+        "sum(frequent_buyer)": 2,
+    }
+
+
+def test_empty_table_flags_nobody(spark):
+    df = samples.features(spark, [])
+    assert threshold_table(df).first() == (None, None)
+    assert fit_thresholds(df) == Thresholds(math.inf, math.inf)
+
+
+def test_matrix_fills_missing_values_and_encodes_segments(spark):
+    first, second, third = samples.feature_rows(3, seed=1)
+    rows = [
+        (first[0], None, "Gold", 0, 10.0, *first[5:12], math.nan, *first[13:]),
+        (second[0], 20, None, 4, 10.0, *second[5:]),
+        (third[0], 20, "Premium", 4, None, *third[5:]),
+    ]
+    a, b, c = model_matrix(samples.features(spark, rows), Thresholds(1.0, 3.0)).orderBy("user_id").collect()
+    assert (a["age"], a["recency_score"], a["customer_segment_encoded"], a["spend_per_transaction"]) == (0, 0, 0, 0)
+    assert (b["customer_segment_encoded"], b["spend_per_transaction"], b["high_value_customer"]) == (0, 2.5, 1)
+    assert (c["customer_segment_encoded"], c["total_spent"], c["high_value_customer"], c["frequent_buyer"]) == (2, 0, 0, 1)

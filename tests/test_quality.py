@@ -1,0 +1,41 @@
+import math
+
+from patronlens import contract as C
+from patronlens.operators import quality
+from tests import samples
+
+
+def test_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d")], "k int, v string")
+    assert sorted(quality.duplicate_keys(df, ["k"]).collect(), key=repr) == [(1, 3), (None, 2)]
+    assert sorted(quality.duplicate_rows(df).collect(), key=repr) == [(1, "a", 2), (None, "d", 2)]
+    assert quality.duplicate_summary(df, ["k"]).first() == (6, 3, 2, 3)
+    assert quality.duplicate_summary(df.limit(0), ["k"]).first() == (0, 0, 0, 0)
+
+
+def test_nulls(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x"), (4, "")], "a int, b string")
+    assert sorted(quality.null_profile(df).collect()) == [("a", 1, 0.25), ("b", 2, 0.5)]
+    assert sorted(quality.null_profile(df.limit(0)).collect()) == [("a", 0, None), ("b", 0, None)]
+
+
+def test_ranges(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, math.nan), (3, None), (None, 4.0), (5, 5.0)], "a int, b double")
+    rows = {row["column_name"]: tuple(row)[1:] for row in quality.range_profile(df).collect()}
+    assert rows["a"] == (4, 1.0, 5.0, 2.75, 1.75, 2.5, 3.5)
+    assert rows["b"] == (3, 2.0, 5.0, 11 / 3, 3.0, 4.0, 4.5)
+    empty = {row["column_name"]: tuple(row)[1:] for row in quality.range_profile(df.limit(0)).collect()}
+    assert empty["a"] == (0, None, None, None, None, None, None)
+
+
+def test_range_violations(spark):
+    users = samples.users(spark, [(1, 17, "Basic"), (2, 18, "Basic"), (3, 70, "Gold"), (4, 71, None), (5, None, "basic")])
+    assert quality.range_violations(users, {"age": C.AGE_RANGE}).collect() == [("age", 18.0, 70.0, 2)]
+    found = quality.domain_violations(users, {"customer_segment": C.SEGMENTS, "country": ["X"]})
+    assert sorted(found.collect()) == [("customer_segment", "Gold", 1), ("customer_segment", "basic", 1)]
+
+
+def test_prediction_alignment(spark):
+    rows = [(True, True, 0.9), (False, False, 0.5), (False, True, 0.6), (None, False, 0.1), (True, False, 0.7)]
+    df = spark.createDataFrame(rows, "is_churned boolean, churn_prediction boolean, churn_probability double")
+    assert quality.prediction_alignment(df).first() == (5, 3, 0.6, 1)
