@@ -1,4 +1,4 @@
-"""The daily job: load, features, weekly training, scores, summary."""
+"""The daily job: load, features, weekly training, scoring functions, stored scores, summary."""
 
 from __future__ import annotations
 
@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 
 from patronlens.operators.features import user_features, with_churn_label
 from patronlens.operators.scoring import prediction_summary, score_features
-from patronlens.plans.training import TrainingSettings, train_churn_model
+from patronlens.plans.training import FOREST, LOGISTIC, TrainingSettings, train_churn_model
 from patronlens.sources.model_store import ModelStore
+from patronlens.sources.sql_functions import deploy_functions
 from patronlens.sources.warehouse import Warehouse
 
 MONDAY = 0
@@ -64,5 +65,7 @@ def run_daily(
     elif model is None:
         raise RuntimeError("there is no published model and training was switched off")
 
+    if model.model_type in (FOREST, LOGISTIC):
+        deploy_functions(warehouse.spark, f"{warehouse.prefix}ml_models", model)
     predictions = warehouse.save(score_features(features, model), "ml_models", "customer_churn_predictions")
     return DailyRun(retrain, version, features, predictions, prediction_summary(predictions))

@@ -30,9 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch(context.applicationId)
 
 
+def application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/patronlens/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/patronlens/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -41,3 +45,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application; frames that read them stop working."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -20,8 +20,8 @@ def csv_stream(spark: SparkSession, landing: str, schema: T.StructType, files_pe
     )
 
 
-def run_to_end(stream: DataFrame, target: str, progress: str) -> int:
-    """Append all that is new to the Parquet table at ``target`` and return the number of rows read.
+def run_to_end(stream: DataFrame, target: str, progress: str) -> None:
+    """Append all that is new to the Parquet table at ``target``, then stop.
 
     ``progress`` remembers what was loaded: each input file is loaded once, over any number of runs, and a run
     that was cut short resumes there. Both folders belong on shared storage.
@@ -33,12 +33,11 @@ def run_to_end(stream: DataFrame, target: str, progress: str) -> int:
         .start(target)
     )
     query.awaitTermination()
-    return sum(batch["numInputRows"] for batch in query.recentProgress)
 
 
-def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, target: str, progress: str) -> int:
+def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, target: str, progress: str) -> None:
     """Load the files that arrived since the last run."""
-    return run_to_end(csv_stream(spark, landing, schema), target, progress)
+    run_to_end(csv_stream(spark, landing, schema), target, progress)
 
 
 def feature_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -46,6 +45,6 @@ def feature_stream(spark: SparkSession, folder: str, schema: T.StructType, files
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files_per_batch)).parquet(folder)
 
 
-def score_stream(features: DataFrame, model: ChurnModel, target: str, progress: str) -> int:
+def score_stream(features: DataFrame, model: ChurnModel, target: str, progress: str) -> None:
     """Score arriving rows with the batch expression. It is stateless: the thresholds come with the model."""
-    return run_to_end(score_features(features, model), target, progress)
+    run_to_end(score_features(features, model), target, progress)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from patronlens import contract as C
 from patronlens.operators import reports
 from patronlens.operators.joins import join_dimension, measured_bytes, sum_by_attribute
+from patronlens.shared import written
+from patronlens.sources.star import order_lines_from
 from tests import samples
 
 
@@ -96,3 +98,35 @@ def test_priced_lines(spark, products):
 def test_customers_by_segment(spark):
     users = samples.users(spark, [(1, 20, "Basic"), (2, 20, "Basic"), (3, 20, None)])
     assert sorted(reports.customers_by_segment(users).collect(), key=repr) == [("Basic", 2), (None, 1)]
+
+
+def test_a_hot_order_is_split_by_the_adaptive_planner(spark):
+    lines = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("l_orderkey"),
+        (F.col("id") % 5).cast("int").alias("l_linenumber"),
+        (F.col("id") % 9).alias("l_partkey"),
+        F.lit(2.0).alias("l_quantity"),
+        (F.col("id") / 100).alias("l_extendedprice"),
+    )
+    orders = spark.range(200_000).select(
+        F.col("id").alias("o_orderkey"),
+        (F.col("id") % 77).alias("o_custkey"),
+        F.lit("2001-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = order_lines_from(written(lines.repartition(8), "lines"), written(orders, "orders"))
+        assert len(joined.collect()) == 200_000
+        assert "isSkew" in joined._jdf.queryExecution().executedPlan().toString().replace("skew=true", "isSkew")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
