@@ -257,7 +257,7 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "duplicate_rows": f"""
-        SELECT order_id, line_number, product_id, quantity, user_id, count(*) AS rows FROM ({LINES})
+        SELECT order_id, line_number, user_id, transaction_date, count(*) AS rows FROM ({LINES})
         GROUP BY ALL HAVING count(*) > 1""",
     "duplicate_summary": f"""
         SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys,

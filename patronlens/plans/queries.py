@@ -13,7 +13,7 @@ from patronlens import contract as C
 from patronlens.operators import dataset, engineered, features, metrics, quality, reports, scoring
 from patronlens.plans.pipeline import run_daily
 from patronlens.plans.training import FOREST, LOGISTIC, TrainingSettings, train_churn_model
-from patronlens.shared import new_path, written
+from patronlens.shared import new_path, write_table, written
 from patronlens.sources import sql_functions, star
 from patronlens.sources.csv_files import read_csv, write_csv
 from patronlens.sources.model_store import ModelStore
@@ -119,9 +119,11 @@ def stream_ingest_available_now(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    stored = _stored_features(spark, folder)
+    labeled = _labeled(spark, folder)
+    landing = write_table(labeled, "arriving-features")
+    stored = spark.read.schema(labeled.schema).parquet(landing)
     target, progress = new_path(spark, "scored"), new_path(spark, "scoring-progress")
-    arriving = jobs.feature_stream(spark, stored.inputFiles()[0].rsplit("/", 1)[0], stored.schema)
+    arriving = jobs.feature_stream(spark, landing, labeled.schema)
     jobs.score_stream(arriving, _fixed_model(stored), target, progress)
     return _scored(spark.read.parquet(target))
 
@@ -333,7 +335,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": lambda s, d: quality.duplicate_keys(
         star.star_table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]
     ),
-    "duplicate_rows": lambda s, d: quality.duplicate_rows(_lines(s, d).drop("total_amount", "transaction_date")),
+    "duplicate_rows": lambda s, d: quality.duplicate_rows(
+        _lines(s, d).select("order_id", "line_number", "user_id", "transaction_date")
+    ),
     "duplicate_summary": lambda s, d: quality.duplicate_summary(_lines(s, d), ["order_id", "line_number"]),
     "null_profile": lambda s, d: quality.null_profile(_users(s, d)),
     "range_profile": lambda s, d: _rounded(

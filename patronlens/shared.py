@@ -39,12 +39,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def write_table(df: DataFrame, label: str) -> str:
+    """Write ``df`` as Parquet to a new path of the shared folder and return the path."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the table read back; call it before a frame is used several times."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, label))
 
 
 def drop_written(spark: SparkSession) -> None:

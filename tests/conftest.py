@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -7,8 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-AS_OF = dt.date(2024, 7, 1)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -17,7 +14,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.sql.adaptive.enabled", "false")  # tiny tables; tests of queries and joins switch it on
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
@@ -25,3 +23,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def adaptive(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -7,7 +7,7 @@ from patronlens.operators.engineered import Thresholds
 from patronlens.operators.scoring import ChurnModel, LinearModel, score_features
 from patronlens.plans.pipeline import run_daily
 from patronlens.plans.training import LOGISTIC, TrainingSettings
-from patronlens.shared import new_path, written
+from patronlens.shared import new_path, write_table
 from patronlens.sources.csv_files import write_csv
 from patronlens.sources.model_store import ModelStore
 from patronlens.sources.sql_functions import prediction_query
@@ -69,9 +69,9 @@ def test_first_run_trains_on_any_day_and_failures_raise(spark, landed):
 
 
 def test_stream_scores_equal_batch_scores(spark, tmp_path):
-    features = written(samples.features(spark, samples.feature_rows(200)).repartition(4), "features")
+    features = samples.features(spark, samples.feature_rows(200)).repartition(4)
+    folder = write_table(features, "features")
     model = ChurnModel("LogisticRegression", Thresholds(2000.0, 15.0), LinearModel((0.01,) * 12, -0.2))
-    folder = features.inputFiles()[0].rsplit("/", 1)[0]
     target, progress = str(tmp_path / "target"), str(tmp_path / "progress")
 
     for _ in range(2):  # the second run finds nothing new

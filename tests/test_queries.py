@@ -11,7 +11,7 @@ from tools.check_queries import rows_of
 FOLDER = "/root/testdata/sf0.001"
 TRAINED = {"trained_model_comparison", "cross_validated_auc", "feature_importances", "trained_model_scores"}
 
-pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no tables")
+pytestmark = [pytest.mark.skipif(not Path(FOLDER).exists(), reason="no tables"), pytest.mark.usefixtures("adaptive")]
 
 
 @pytest.fixture(scope="module")
