@@ -95,4 +95,32 @@ WITH parts AS ({" UNION ALL ".join(_spans(i, rule) for i, rule in enumerate(secr
 SELECT *, sha256(spans) AS base_sha256 FROM rows
 """
 
-ORACLE = {"op1_license_scan": OP1, "op8_line_dedup": OP8, "op10_secret_scan": OP10}
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP3 = f"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item_id, words, least(len(words), 10) AS size FROM (SELECT item_id, {_WORDS} AS words FROM benchmark)
+  WHERE len(words) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS w
+  FROM (SELECT *, unnest(generate_series(1, len(words) - size + 1)) AS i FROM items)
+), docs AS (
+  SELECT doc_id, {_WORDS} AS words FROM documents
+), places AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS w
+  FROM (SELECT doc_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS i
+        FROM docs, (SELECT DISTINCT size FROM items) WHERE len(words) >= size)
+), matches AS (
+  SELECT doc_id, i, size, item_id FROM places JOIN item_windows USING (size, w)
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM matches) GROUP BY 1
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM matches) GROUP BY 1
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLE = {"op3_decontamination": OP3, "op1_license_scan": OP1, "op8_line_dedup": OP8, "op10_secret_scan": OP10}

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import licenses, linededup, secrets
+from patronlens.llm import decontaminate, licenses, linededup, secrets
 from patronlens.shared import new_path
 
 
@@ -23,6 +23,19 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, _table(spark, folder, "benchmark"), carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -47,6 +60,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_decontamination": op3_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
