@@ -51,7 +51,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_table(df, label))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_written(spark: SparkSession) -> None:
     """Delete every intermediate table of this application; frames that read them stop working."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, application_dir(spark))
