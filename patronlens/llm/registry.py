@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import decontaminate, licenses, linededup, secrets
+from patronlens.llm import decontaminate, licenses, linededup, secrets, simhash
 from patronlens.shared import new_path
 
 
@@ -36,6 +36,13 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id"
+    )
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -61,6 +68,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_decontamination": op3_decontamination,
+    "op6_simhash_dedup": op6_simhash_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
