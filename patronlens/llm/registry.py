@@ -5,10 +5,11 @@ Every query applies its operator, with production parameters, to the whole of it
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import decontaminate, licenses, linededup, secrets, simhash
+from patronlens.llm import decontaminate, licenses, linededup, packing, secrets, simhash
 from patronlens.shared import new_path
 
 
@@ -36,6 +37,13 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -68,6 +76,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_decontamination": op3_decontamination,
+    "op4_packing": op4_packing,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_secret_scan": op10_secret_scan,
