@@ -70,7 +70,8 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def rule_findings(text: Column, rule: Rule, number: int) -> Column:
     """All findings of one rule in a text, in order. The hint spares texts without a finding the cutting into chunks."""
-    chunk = f"(?s{rule.flags})(.*?)({rule.pattern})"
+    # \\G: a chunk begins where the one before ended; else what follows the last match would be tried from every character
+    chunk = f"(?s{rule.flags})\\G(.*?)({rule.pattern})"
 
     def lengths(group: int) -> Column:
         return F.transform(F.regexp_extract_all(text, F.lit(chunk), F.lit(group)), F.length)
