@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import decontaminate, licenses, linededup, packing, secrets, simhash
+from patronlens.llm import decontaminate, licenses, linededup, packing, quality, secrets, simhash
 from patronlens.shared import new_path
 
 
@@ -24,6 +24,13 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.train(docs, _table(spark, folder, "labels"))).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, _table(spark, folder, "benchmark"), carry=["doc_id"])
@@ -75,6 +82,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_compression_quality": op2_compression_quality,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op6_simhash_dedup": op6_simhash_dedup,
