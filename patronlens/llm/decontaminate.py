@@ -244,12 +244,13 @@ PARTS = ("row", "text", "found")
 
 def _pass(rows: DataFrame, suffixes: Suffixes, shard_bytes: int) -> DataFrame:
     """``rows`` (row, text, found) with the matches of one block of items added to ``found``."""
-    block = rows.sparkSession.sparkContext.broadcast(suffixes)
+    block = rows.sparkSession.sparkContext.broadcast(tuple(vars(suffixes).values()))  # plain values
     kind = pa.struct(list(zip(("n_words", "item_ids", "longest_match", "spans"), ARROW)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        suffixes = Suffixes(*block.value)
         for batch in slices_by_bytes(batches, 1, shard_bytes):
-            words, longest, spans, items = scan_texts(batch.column(1), block.value)
+            words, longest, spans, items = scan_texts(batch.column(1), suffixes)
             before = batch.column(2).to_pylist()
             found = []
             for d, old in enumerate(before):
