@@ -13,7 +13,18 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import chat, decontaminate, language, licenses, linededup, packing, quality, secrets, simhash
+from patronlens.llm import (
+    chat,
+    decontaminate,
+    embeddings,
+    language,
+    licenses,
+    linededup,
+    packing,
+    quality,
+    secrets,
+    simhash,
+)
 from patronlens.shared import new_path
 
 
@@ -106,6 +117,10 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.scan_secrets(docs, new_path(spark, "secret-ledger"))
@@ -130,5 +145,6 @@ QUERIES = {
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
