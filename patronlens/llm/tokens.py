@@ -1,24 +1,37 @@
 """Token ids of whole texts by a public byte-level tokenizer, with the ids of frequent words kept at hand.
 
-A byte-level tokenizer cuts a text before its merges, and always before a blank that a visible ASCII character or a letter follows.
-Parts between such places are therefore encoded on their own, and most repeat. The result is that of encoding the whole text.
+A byte-level tokenizer cuts a text before its merges, from left to right and looking only ahead. ``PART`` cuts at places where it
+surely does too: around words of Latin letters, around digits and punctuation that an ASCII character follows, around a single line feed
+and before a blank that something visible follows. Parts are therefore encoded on their own, and most repeat. The result is that of
+encoding the whole text.
 """
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 from tokenizers import Tokenizer
 
-PART = re.compile(r" (?=[!-~\w])")
-KEPT_PARTS = 250_000  # bounds the memory of a task, not the result
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARKS = r"!-/:-@\[-`{-~"
+PART = re.compile(
+    rf" ?[{LATIN}]++(?=[\x00-\x7f]|\Z)"
+    rf"| ?[0-9]++(?=[\x00-\x7f]|\Z)"
+    rf"|(?!') ?[{MARKS}]++(?=[\x00-\x7f]|\Z)"  # an apostrophe may begin an ending such as 's
+    rf"|\n(?=[!-~{LATIN}])"
+    r"|(?s:.)+?(?= [!-~\w]|\Z)"
+)
+BEFORE_WORD = re.compile(r" (?=[!-~\w])")
+KEPT_PARTS = 300_000  # bounds the memory of a task, not the result
 BATCH = 4096
 SEGMENT = 1 << 20
 
 
 def load(path: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     return tokenizer
@@ -30,18 +43,14 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _learn(self, parts: list[str]) -> None:
-        """Encode parts that are not known yet; ``parts`` carry their blank in front."""
         for at in range(0, len(parts), BATCH):
             some = parts[at : at + BATCH]
             for part, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[part] = np.array(encoding.ids, dtype="<u4").tobytes()
+                self.known[part] = array("I", encoding.ids).tobytes()
 
     def _encoded(self, segments: list[str]) -> list[bytes]:
-        split = []
-        for segment in segments:
-            first, *rest = PART.split(segment)
-            split.append([first, *(" " + part for part in rest)])
         known = self.known
+        split = [PART.findall(segment) for segment in segments]
         missing = {part for parts in split for part in parts if part not in known}
         if len(known) + len(missing) > KEPT_PARTS:
             known.clear()
@@ -59,7 +68,7 @@ class Encoder:
 def _segments(text: str) -> Iterator[str]:
     """A long text cut at places where a part ends."""
     start = 0
-    while place := PART.search(text, start + SEGMENT):
+    while place := BEFORE_WORD.search(text, start + SEGMENT):
         yield text[start : place.start()]
         start = place.start()
     yield text[start:]
