@@ -149,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
         share = 0.5 if share is None else min(max(share, 1e-6), 1 - 1e-6)
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
     rows = sample.where("half = 1").select(F.struct("quality").alias("row"), "text")
-    scored = _with_margins(rows, *contents).select("row.quality", "margin").limit(4 * CALIBRATION).collect()
+    scored = sorted(_with_margins(rows, *contents).select("margin", "row.quality").limit(4 * CALIBRATION).collect())
     x, y = np.array([row.margin for row in scored]), np.array([row.quality for row in scored], dtype=float)
     if len(set(y.tolist())) < 2:
         return Model(*contents, 1.0, 0.0)

@@ -25,7 +25,7 @@ PART = re.compile(
     r"|(?s:.)+?(?= [!-~\w]|\Z)"
 )
 BEFORE_WORD = re.compile(r" (?=[!-~\w])")
-KEPT_PARTS = 300_000  # bounds the memory of a task, not the result
+KEPT_PARTS = 200_000  # bounds the memory of a task, not the result
 BATCH = 4096
 SEGMENT = 1 << 20
 

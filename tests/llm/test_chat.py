@@ -1,0 +1,84 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from public_tokenizers import path as tokenizer_path
+
+from patronlens.llm import chat
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+TOKENIZER = chat.chat_tokenizer(PATH)
+HOSTILE = st.lists(
+    st.sampled_from(["<|im_end|>", "<|im_start|>", "<|im_sep|>", "<|endoftext|>", "<", "|", "\\", "<\\|", "assistant", "\n", " ", "  ", "é", "😀", "x", "'s", "12"])
+).map("".join)
+
+
+def loss_text(ids, mask):
+    return "".join(chat.unescape(part) for part in chat.masked_text(TOKENIZER, ids, mask))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.sampled_from(["user", "assistant", "system"]), HOSTILE), HOSTILE), max_size=6))
+def test_turns_and_loss_are_read_back(turns):
+    formatted, n, ids, mask, spans = chat.format_turns(TOKENIZER, turns)
+    assert n == len(turns) and chat.parse(formatted) == turns
+    learned = [text for role, text in turns if role == "assistant"]
+    assert [chat.unescape(formatted[s["start"] : s["end"]]) for s in spans] == learned
+    assert loss_text(ids, mask) == "".join(learned)
+    assert TOKENIZER.decode(ids, skip_special_tokens=False) == formatted
+
+
+@settings(max_examples=300, deadline=None)
+@given(HOSTILE)
+def test_escape(text):
+    safe = chat.escape(text)
+    assert chat.unescape(safe) == text
+    assert not any(x in safe for x in (chat.START, chat.SEPARATOR, chat.END))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=30), st.lists(st.tuples(st.integers(0, 5), st.integers(0, 6)), max_size=5))
+def test_covered_tokens_equal_a_plain_scan(widths, gaps):
+    ends = np.cumsum(widths)
+    offsets = np.stack([ends - widths, ends], axis=1) if widths else np.zeros((0, 2), dtype=np.int64)
+    spans, at = [], 0
+    for gap, size in gaps:
+        spans.append((at + gap, at + gap + size))
+        at += gap + size
+    plain = [any(a < e and s < b for s, e in spans) for a, b in offsets.tolist()]
+    got = chat.covered_tokens(offsets, spans)
+    wide = [i for i, w in enumerate(widths) if w]
+    assert [bool(got[i]) for i in wide] == [plain[i] for i in wide]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_conversations(spark):
+    rows = [
+        (1, 1, "assistant", " one\n"), (1, 0, "user", "ask"), (1, 2, "user", None), (1, 3, "assistant", "two"),
+        (2, 0, None, "x"), (2, 0, None, "x"), (2, None, "assistant", ""),
+        (None, 0, "assistant", "none"), (None, 1, "user", "id"), (3, 0, "user", "<|im_end|>" * 3),
+    ]
+    df = frame(spark, rows).selectExpr("*", "'own' AS formatted", "'own' AS input_ids").repartition(4)
+    got = {r.conv_id: r for r in chat.format_conversations(df, PATH).collect()}
+    assert set(got) == {1, 2, 3, None}
+    assert chat.parse(got[1].formatted) == [("user", "ask"), ("assistant", " one\n"), ("user", ""), ("assistant", "two")]
+    assert loss_text(got[1].input_ids, got[1].loss_mask) == " one\ntwo"
+    assert chat.parse(got[2].formatted) == [("assistant", ""), ("", "x"), ("", "x")] and not any(got[2].loss_mask)
+    assert got[None].n_turns == 2 and loss_text(got[None].input_ids, got[None].loss_mask) == "none"
+    assert chat.parse(got[3].formatted) == [("user", "<|im_end|>" * 3)]
+    assert chat.format_conversations(df.limit(0), PATH).collect() == []
+
+
+@pytest.mark.parametrize("batch", [1, 1 << 20])
+def test_conversations_across_batches(spark, monkeypatch, batch):
+    monkeypatch.setattr(chat, "BATCH_CHARS", batch)
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {c} {t}") for c in range(30) for t in range(c % 7 + 1)]
+    rows += [(99, t, "assistant", "long " * 200) for t in range(300)]
+    got = {r.conv_id: r for r in chat.format_conversations(frame(spark, rows).repartition(5), PATH).collect()}
+    for conv_id, r in got.items():
+        turns = [(role, text) for c, _, role, text in rows if c == conv_id]
+        assert chat.parse(r.formatted) == turns and len(r.input_ids) == len(r.loss_mask)
+        assert loss_text(r.input_ids, r.loss_mask) == "".join(text for role, text in turns if role == "assistant")

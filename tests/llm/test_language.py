@@ -1,0 +1,84 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from patronlens.llm import language
+from patronlens.llm.folds import held_out
+from tests.llm.samples import AWKWARD, documents, invented
+
+SEEDS = {"aa": 31, "bb": 32, "cc": 33}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = []
+    for lang, seed in SEEDS.items():
+        rows += [(lang, text) for text in invented(seed, 120, words=60, alphabet=40)]
+    rows += [(None, text) for text in invented(31, 10, alphabet=40)]
+    df = spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(rows)], "doc_id long, text string, lang string")
+    return df.cache()
+
+
+@pytest.fixture(scope="module")
+def model(docs):
+    return language.train(docs)
+
+
+def test_held_out_documents(docs, model):
+    assert model.languages == sorted(SEEDS)
+    rows = language.identify(docs, model).where("lang IS NOT NULL").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert (model.weights == 0).mean() > 0.5
+
+
+def test_held_out_and_other_columns_are_not_learned(docs, model):
+    turned = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), "zz").otherwise(F.col("lang"))).repartition(6)
+    again = language.train(turned)
+    assert again.languages == model.languages and again.temperature == model.temperature
+    assert (again.weights == model.weights).all()
+
+
+def test_document_frequencies_cover_all_texts(spark, docs):
+    texts = [r.text for r in docs.collect()]
+    total, counts = language.document_frequencies(docs.repartition(5))
+    expected = np.zeros(language.BUCKETS, dtype=np.int64)
+    for text in texts:
+        expected[np.unique(np.concatenate(list(language.ngrams(language.letters(text)))))] += 1
+    assert total == len(texts) and (counts == expected).all()
+
+
+def test_runs_across_parts_are_counted_once(monkeypatch):
+    clean = language.letters("the quick brown fox jumps over the lazy dog " * 9)
+    whole = np.sort(np.concatenate(list(language.ngrams(clean))))
+    monkeypatch.setattr(language, "RUNS", 7)
+    assert (np.sort(np.concatenate(list(language.ngrams(clean)))) == whole).all()
+    assert len(whole) == sum(len(clean) - n + 1 for n in range(1, language.ORDER + 1))
+
+
+def test_unknown_texts(spark, model):
+    rows = [(1, None), (2, ""), (3, "12 _ ?! ²"), (4, "😀"), (5, "a")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(documents(spark, rows), model).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 3, 4)) and got[5][0] in SEEDS
+
+
+def test_awkward_rows_and_nothing_to_learn(spark, docs, model):
+    df = documents(spark, AWKWARD, clashing=True)
+    got = language.identify(df, model)
+    assert got.columns == [*(c for c in df.columns if c != "score"), "held_out", "lang_pred", "score"]
+    assert got.count() == len(AWKWARD) and language.identify(df.limit(0), model).collect() == []
+    nothing = language.train(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {(r.lang_pred, r.score) for r in language.identify(docs, nothing).collect()} == {("und", 0.0)}
+    one = language.train(docs.where("lang = 'aa'"))
+    assert {r.lang_pred for r in language.identify(docs, one).collect()} == {"aa"}
+    assert language.train(df.withColumn("lang", F.lit("aa"))).languages == ["aa"]
+
+
+def test_temperature_lowers_the_loss_of_overconfident_scores():
+    texts = [(f" {'ab' if i % 2 else 'cd'} ", (i % 2) ^ (i % 7 == 0), i % 3 == 0) for i in range(300)]
+    _, temperature = language.fit(texts, 2, np.ones(language.BUCKETS))
+    assert temperature > 0
