@@ -1,8 +1,9 @@
-"""Money arithmetic in whole cents.
+"""Sums and means of money.
 
-Sums of doubles depend on the order in which partitions arrive. Whole cents in a bigint are exact, give the
-same total under any partitioning, and stay in one machine word per group (a decimal sum took 2.6 times as long
-in a grouped aggregate over 30 million rows). An amount too large for a bigint of cents fails the job.
+Sums of doubles depend on the order in which partitions arrive. An amount is therefore split into whole cents, summed exactly as bigints
+(a decimal sum took 2.6 times as long in a grouped aggregate over 30 million rows), and what it has beyond them, summed as a double.
+Amounts of two decimals have nothing beyond: their sums are exact and the same under any partitioning. Other amounts keep all their
+digits. An amount that is not finite, or too large for a bigint of cents, fails the job.
 """
 
 from __future__ import annotations
@@ -11,20 +12,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _column(amount: str | Column) -> Column:
+    return F.col(amount) if isinstance(amount, str) else amount
+
+
 def cents(amount: str | Column) -> Column:
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(amount * F.lit(100.0)).cast("bigint")
+    return F.rint(_column(amount) * F.lit(100.0)).cast("bigint")
 
 
 def from_cents(value: Column) -> Column:
     return value.cast("double") / F.lit(100.0)
 
 
+def beyond_cents(amount: str | Column) -> Column:
+    """What an amount has besides its whole cents; 0 for an amount of two decimals."""
+    return _column(amount) - from_cents(cents(amount))
+
+
 def sum_money(amount: str | Column) -> Column:
-    return from_cents(F.sum(cents(amount)))
+    return from_cents(F.sum(cents(amount))) + F.sum(beyond_cents(amount))
 
 
 def mean_money(amount: str | Column) -> Column:
-    """Mean over the non-null amounts; null when there is none."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return from_cents(F.sum(cents(amount))) / F.nullif(F.count(amount), F.lit(0))
+    """Mean over the non-null amounts, never outside their range; null when there is none."""
+    amount = _column(amount)
+    mean = sum_money(amount) / F.nullif(F.count(amount), F.lit(0))
+    return F.least(F.greatest(mean, F.min(amount)), F.max(amount))

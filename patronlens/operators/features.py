@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens import contract as C
-from patronlens.functions import age_in_days, cents, from_cents, not_after, uniform_draw
+from patronlens.functions import age_in_days, mean_money, not_after, sum_money, uniform_draw
 
 
 def transaction_features(
@@ -18,10 +18,12 @@ def transaction_features(
 
     Everything is combined inside each task before the shuffle, so a customer who holds a third of all rows
     reaches the reducer as a handful of partial rows. A distinct count alone would have every customer shuffled
-    once per payment method; the usual methods (a hint of up to 62 names) are therefore counted as bits of one
+    once per payment method; the usual methods (a hint of at most 62 names) are therefore counted as bits of one
     number, and only other names go through the distinct count. The result is exact for any names.
     """
-    usual = usual_methods[:62]
+    usual = list(usual_methods)
+    if len(usual) > 62:
+        raise ValueError("a bigint has bits for at most 62 usual payment methods")
     method = F.col("payment_method")
     bits = [F.when(method == name, F.lit(1 << i).cast("bigint")) for i, name in enumerate(usual)]
     known = transactions.where(not_after("transaction_date", as_of)).select(
@@ -30,32 +32,25 @@ def transaction_features(
         F.coalesce(*bits, F.lit(None).cast("bigint")).alias("usual_method"),
         F.when(~method.isin(usual), method).alias("other_method"),
         "total_amount",
-        cents("total_amount").alias("amount_cents"),
         age_in_days("transaction_date", as_of).alias("days"),
     )
     return (
         known.groupBy("user_id")
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
-            F.sum("amount_cents").alias("spent_cents"),
-            F.count("amount_cents").alias("amounts"),
+            sum_money("total_amount").alias("total_spent"),
+            mean_money("total_amount").alias("avg_transaction_amount"),
             F.max("total_amount").alias("max_transaction_amount"),
             F.min("total_amount").alias("min_transaction_amount"),
             F.count("transaction_id").alias("transaction_frequency"),
             F.min("days").alias("days_since_last_transaction"),
             F.count_if(F.col("days") <= C.RECENT_DAYS).alias("transactions_last_30_days"),
             F.avg("days").alias("avg_days_between_transactions"),
-            F.round(F.avg(F.lit(1.0) / (F.col("days") + 1)), 9).alias("recency_score"),
+            F.avg(F.lit(1.0) / (F.col("days") + 1)).alias("recency_score"),
             F.bit_or("usual_method").alias("usual_methods"),
             F.count_distinct("other_method").alias("other_methods"),
         )
-        .withColumns(
-            {
-                "total_spent": from_cents(F.col("spent_cents")),
-                "payment_method_count": F.coalesce(F.bit_count("usual_methods"), F.lit(0)) + F.col("other_methods"),
-                "avg_transaction_amount": from_cents(F.col("spent_cents")) / F.nullif("amounts", F.lit(0)),
-            }
-        )
+        .withColumn("payment_method_count", F.coalesce(F.bit_count("usual_methods"), F.lit(0)) + F.col("other_methods"))
         .select("user_id", *C.USER_FEATURES[3:])
     )
 
@@ -90,9 +85,9 @@ def feature_statistics(features: DataFrame) -> DataFrame:
     return features.agg(
         F.count(F.lit(1)).alias("total_users"),
         F.count_if("is_churned").alias("churned_users"),
-        (from_cents(F.sum(cents("total_spent"))) / F.nullif(F.count("total_spent"), F.lit(0))).alias("avg_spent"),
+        mean_money("total_spent").alias("avg_spent"),
         F.avg("total_transactions").alias("avg_transactions"),
-        F.round(F.avg("recency_score"), 9).alias("avg_recency_score"),
+        F.avg("recency_score").alias("avg_recency_score"),
     )
 
 

@@ -41,17 +41,18 @@ def sum_by_attribute(
     dimension: DataFrame,
     key: str,
     attribute: str,
-    measure: str,
+    measures: list[str],
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``sum(measure)`` of the fact rows per ``attribute`` of their dimension row (integer measure).
+    """The sums of ``measures`` of the fact rows per ``attribute`` of their dimension row.
 
     Small dimension: broadcast, and only per-task totals by attribute are shuffled. Large dimension: totals by
     key come first, combined before the shuffle, so that a key with a third of all rows joins as one row.
     """
     dimension = dimension.select(key, attribute)
+    sums = [F.sum(measure).alias(measure) for measure in measures]
     if is_small(dimension, limit):
-        joined = fact.select(key, measure).join(F.broadcast(dimension), key)
+        joined = fact.select(key, *measures).join(F.broadcast(dimension), key)
     else:
-        joined = fact.groupBy(key).agg(F.sum(measure).alias(measure)).join(dimension, key)
-    return joined.groupBy(attribute).agg(F.sum(measure).alias(measure))
+        joined = fact.groupBy(key).agg(*sums).join(dimension, key)
+    return joined.groupBy(attribute).agg(*sums)

@@ -66,12 +66,19 @@ def percentiles_by_rank(df: DataFrame, columns: list[str], probabilities: list[f
     for (column, target), row in found.items():
         if target % 2 == 0:
             below, above = row.keys["value"], found[column, target + 1].keys["value"]
-            fraction = math.modf((row.stratum_rows - 1) * probabilities[target // 2])[0]
-            value = below + fraction * (above - below) if fraction else below  # the neighbour may be infinite
-            lines.append((columns[column], probabilities[target // 2], value))
+            position = (row.stratum_rows - 1) * probabilities[target // 2]
+            lines.append((columns[column], probabilities[target // 2], between(below, above, position)))
     return df.sparkSession.createDataFrame(lines, "column_name string, probability double, value double")
 
 
+def between(below: float, above: float, position: float) -> float:
+    """Linear interpolation in the very operations of the built-in ``percentile``, so that both agree to the last bit."""
+    low, high = math.floor(position), math.ceil(position)
+    if low == high or below == above:
+        return below
+    return (high - position) * below + (position - low) * above
+
+
 def _value(name: str) -> Column:
     """The column as a double, without NaN."""
     return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))

@@ -82,16 +82,21 @@ def range_violations(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> D
     return counts.select(F.inline(F.array(*lines)))
 
 
-def domain_violations(df: DataFrame, domains: dict[str, list[str]]) -> DataFrame:
-    """``(column_name, value, rows)``: values outside each column's allowed list; null is no violation."""
+def domain_violations(df: DataFrame, domains: dict[str, list[str]], counted: str | None = None) -> DataFrame:
+    """``(column_name, value, rows)``: values outside each column's allowed list; null is no violation.
+
+    ``counted`` names a column with the number of rows that each row stands for.
+    """
+    rows = F.lit(1) if counted is None else F.col(counted)
     checked = df.select(
-        [F.when(~F.col(c).isin(allowed), F.col(c).cast("string")).alias(c) for c, allowed in domains.items()]
+        rows.cast("long").alias("_rows"),
+        *[F.when(~F.col(c).isin(allowed), F.col(c).cast("string")).alias(c) for c, allowed in domains.items()],
     )
     return (
-        checked.unpivot([], list(domains), "column_name", "value")
+        checked.unpivot("_rows", list(domains), "column_name", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum("_rows").alias("rows"))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.functions import cents, dollar_text, from_cents, percent_text, sum_money, whole_text
+from patronlens.functions import beyond_cents, cents, dollar_text, from_cents, percent_text, sum_money, whole_text
 from patronlens.operators.joins import BROADCAST_BYTES, join_dimension, sum_by_attribute
 
 
@@ -45,9 +45,9 @@ def key_metrics(users: DataFrame, transactions: DataFrame, features: DataFrame)
 
 def revenue_by_category(sales: DataFrame, products: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Revenue per product category, highest first."""
-    amounts = sales.select("product_id", cents("total_amount").alias("revenue_cents"))
-    by_category = sum_by_attribute(amounts, products, "product_id", "category", "revenue_cents", broadcast_bytes)
-    return by_category.select("category", from_cents(F.col("revenue_cents")).alias("revenue")).orderBy(
+    amounts = sales.select("product_id", cents("total_amount").alias("whole"), beyond_cents("total_amount").alias("beyond"))
+    by_category = sum_by_attribute(amounts, products, "product_id", "category", ["whole", "beyond"], broadcast_bytes)
+    return by_category.select("category", (from_cents(F.col("whole")) + F.col("beyond")).alias("revenue")).orderBy(
         F.desc("revenue"), "category"
     )
 

@@ -39,20 +39,24 @@ TRANSACTION_FEATURES = f"""
     SELECT user_id,
            count(*) AS total_transactions,
            CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_spent,
-           CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) / count(total_amount) AS avg_transaction_amount,
+           least(greatest(CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) / count(total_amount), min(total_amount)),
+                 max(total_amount)) AS avg_transaction_amount,
            max(total_amount) AS max_transaction_amount,
            min(total_amount) AS min_transaction_amount,
            count(transaction_id) AS transaction_frequency,
            CAST(min(days) AS INTEGER) AS days_since_last_transaction,
            CAST(sum(CASE WHEN days <= 30 THEN 1 ELSE 0 END) AS BIGINT) AS transactions_last_30_days,
            avg(days) AS avg_days_between_transactions,
-           round(avg(CAST(1 AS DOUBLE) / (days + 1)), 9) AS recency_score,
+           avg(CAST(1 AS DOUBLE) / (days + 1)) AS recency_score,
            count(DISTINCT payment_method) AS payment_method_count
     FROM (SELECT *, date_diff('day', CAST(transaction_date AS DATE), DATE '{AS_OF}') AS days
           FROM ({TRANSACTIONS}) WHERE CAST(transaction_date AS DATE) <= DATE '{AS_OF}')
     GROUP BY user_id
 """
 
+# Means of fractions may differ in the last bits between engines.
+ROUNDED = "SELECT * REPLACE (round(recency_score, 9) AS recency_score) FROM"
+
 USER_FEATURES = f"""
     SELECT u.user_id, u.age, u.customer_segment, t.* EXCLUDE (user_id)
     FROM ({PROFILES}) u JOIN ({TRANSACTION_FEATURES}) t ON t.user_id = u.user_id
@@ -97,7 +101,7 @@ WITH = f"""
     engineered AS ({ENGINEERED}),
     predictions AS (
         SELECT * EXCLUDE (spend_per_transaction, high_value_customer, frequent_buyer, customer_segment_encoded, p),
-               round(p, 9) AS churn_probability, p > 0.5 AS churn_prediction
+               p AS churn_probability, p > 0.5 AS churn_prediction
         FROM (SELECT *, CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(-({MARGIN}))) AS p FROM engineered)),
     placed AS (
         SELECT e.*, CAST(is_churned AS INTEGER) AS label,
@@ -145,6 +149,13 @@ REPORT = f"""
 """
 
 
+SCORED = f"{WITH} SELECT * REPLACE (round(recency_score, 9) AS recency_score, round(churn_probability, 9) AS churn_probability) FROM predictions"
+
+
+def _names(values: list[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
 def _null_line(column: str) -> str:
     return (
         f"SELECT '{column}' AS column_name, count(*) FILTER ({column} IS NULL) AS null_count, "
@@ -162,10 +173,10 @@ def _range_line(column: str) -> str:
     )
 
 
-def _outside_line(column: str, low: float, high: float) -> str:
+def _outside_line(column: str, low: float, high: float, source: str) -> str:
     return (
         f"SELECT '{column}' AS column_name, CAST({low} AS DOUBLE) AS low, CAST({high} AS DOUBLE) AS high, "
-        f"count(*) FILTER ({column} < {low} OR {column} > {high}) AS violations FROM ({LINES})"
+        f"count(*) FILTER ({column} < {low} OR {column} > {high}) AS violations FROM {source}"
     )
 
 
@@ -177,12 +188,12 @@ ORACLE: dict[str, str] = {
                CAST(CAST(p.p_retailprice AS DECIMAL(18,2)) * l.quantity AS DOUBLE) AS list_amount
         FROM ({LINES}) l JOIN part p ON p.p_partkey = l.product_id""",
     "users": USERS,
-    "user_transaction_features": TRANSACTION_FEATURES,
-    "user_features": USER_FEATURES,
-    "user_features_labeled": LABELED,
+    "user_transaction_features": f"{ROUNDED} ({TRANSACTION_FEATURES})",
+    "user_features": f"{ROUNDED} ({USER_FEATURES})",
+    "user_features_labeled": f"{ROUNDED} ({LABELED})",
     "feature_statistics": f"""{WITH}
         SELECT count(*) AS total_users, count(*) FILTER (is_churned) AS churned_users,
-               CAST(sum(CAST(total_spent AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_spent,
+               least(greatest(CAST(sum(CAST(total_spent AS DECIMAL(18,2))) AS DOUBLE) / count(*), min(total_spent)), max(total_spent)) AS avg_spent,
                avg(total_transactions) AS avg_transactions, round(avg(recency_score), 9) AS avg_recency_score
         FROM labeled""",
     "churn_distribution": f"{WITH} SELECT is_churned, count(*) AS customers FROM labeled GROUP BY is_churned",
@@ -209,8 +220,10 @@ ORACLE: dict[str, str] = {
         FROM ({PROFILES}) u JOIN labeled f ON f.user_id = u.user_id GROUP BY u.customer_segment ORDER BY churn_rate DESC""",
     "p80_thresholds": WITH + P80,
     "p80_thresholds_by_rank": WITH + P80,
-    "engineered_features": f"{WITH} SELECT user_id, {', '.join(C.MODEL_FEATURES)}, is_churned AS actual_churn FROM engineered",
-    "model_matrix": f"{WITH} SELECT user_id, {INPUTS}, CAST(is_churned AS INTEGER) AS label FROM engineered",
+    "engineered_features": f"""{WITH} {ROUNDED} (
+        SELECT user_id, {', '.join(C.MODEL_FEATURES)}, is_churned AS actual_churn FROM engineered)""",
+    "model_matrix": f"""{WITH} {ROUNDED} (
+        SELECT user_id, {INPUTS}, CAST(is_churned AS INTEGER) AS label FROM engineered)""",
     "class_weights": f"""{WITH}
         SELECT CAST(is_churned AS INTEGER) AS label, count(*) AS class_rows,
                (SELECT count(*) FROM labeled) / CAST(2 * count(*) AS DOUBLE) AS weight
@@ -221,9 +234,10 @@ ORACLE: dict[str, str] = {
     "stratified_fold_counts": f"""{WITH}
         SELECT label, CAST(fold AS INTEGER) AS fold, count(*) AS customers FROM placed GROUP BY label, fold""",
     "standardized_features": f"{WITH} SELECT user_id, is_test, {SCALED} FROM split",
-    "churn_predictions": f"{WITH} SELECT * FROM predictions",
+    "churn_predictions": SCORED,
     "scoring_smoke": f"""{WITH}
-        SELECT user_id, age, total_transactions, total_spent, is_churned AS actual_churn, churn_probability, churn_prediction
+        SELECT user_id, age, total_transactions, total_spent, is_churned AS actual_churn,
+               round(churn_probability, 9) AS churn_probability, churn_prediction
         FROM predictions ORDER BY user_id LIMIT 10""",
     "prediction_summary": f"""{WITH}
         SELECT count(*) AS total_customers, count(*) FILTER (churn_prediction) AS predicted_churned,
@@ -253,39 +267,52 @@ ORACLE: dict[str, str] = {
                       - count(*) FILTER (is_churned) * (count(*) FILTER (is_churned) + 1) / CAST(2 AS DOUBLE))
                      / (count(*) FILTER (is_churned) * count(*) FILTER (NOT is_churned)), 9) AS auc
         FROM ranked""",
+    "auc_small_scores": f"""{WITH},
+        small AS (SELECT is_churned, days_since_last_transaction / CAST({2**60} AS DOUBLE) AS score FROM labeled),
+        ranked AS (SELECT is_churned, (score > CAST(0.5 AS DOUBLE)) = is_churned AS correct,
+                          rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / CAST(2 AS DOUBLE) AS mid_rank
+                   FROM small)
+        SELECT count(*) FILTER (correct) / count(*) AS accuracy,
+               round((sum(mid_rank) FILTER (is_churned)
+                      - count(*) FILTER (is_churned) * (count(*) FILTER (is_churned) + 1) / CAST(2 AS DOUBLE))
+                     / (count(*) FILTER (is_churned) * count(*) FILTER (NOT is_churned)), 9) AS auc
+        FROM ranked""",
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "duplicate_rows": f"""
-        SELECT order_id, line_number, user_id, transaction_date, count(*) AS rows FROM ({LINES})
-        GROUP BY ALL HAVING count(*) > 1""",
-    "duplicate_summary": f"""
+    "duplicate_rows": "SELECT *, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
+    "duplicate_texts": """
+        SELECT * EXCLUDE (doc_id), count(*) AS rows FROM documents GROUP BY ALL HAVING count(*) > 1""",
+    "duplicate_summary": """
         SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys,
                CAST(sum(n - 1) AS BIGINT) AS surplus_rows
-        FROM (SELECT count(*) AS n FROM ({LINES}) GROUP BY order_id, line_number)""",
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
     "null_profile": " UNION ALL ".join(_null_line(field.name) for field in C.RAW_USERS),
     "range_profile": " UNION ALL ".join(_range_line(name) for name in ("o_orderkey", "o_custkey", "o_totalprice")),
     "range_violations": " UNION ALL ".join(
-        [_outside_line("quantity", *C.QUANTITY_RANGE), _outside_line("total_amount", *C.PRICE_RANGE)]
+        [
+            _outside_line("quantity", *C.QUANTITY_RANGE, "(SELECT CAST(l_quantity AS INTEGER) AS quantity FROM lineitem)"),
+            _outside_line("price", *C.PRICE_RANGE, "(SELECT p_retailprice AS price FROM part)"),
+            _outside_line("age", *C.AGE_RANGE, f"({PROFILES})"),
+        ]
     ),
     "domain_violations": f"""
-        SELECT 'category' AS column_name, p.p_type AS value, count(*) AS rows
-        FROM ({LINES}) l JOIN part p ON p.p_partkey = l.product_id
-        WHERE p.p_type NOT IN ('PROMO', 'STANDARD') GROUP BY p.p_type""",
+        SELECT 'category' AS column_name, p_type AS value, count(*) AS rows
+        FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_type NOT IN ({_names(C.CATEGORIES)}) GROUP BY p_type""",
     "segment_domain_violations": f"""
-        SELECT 'c_mktsegment' AS column_name, c_mktsegment AS value, count(*) AS rows
-        FROM customer JOIN orders ON o_custkey = c_custkey
-        WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY c_mktsegment
+        SELECT 'customer_segment' AS column_name, c_mktsegment AS value, count(*) AS rows
+        FROM customer WHERE c_mktsegment NOT IN ({_names(C.SEGMENTS)}) GROUP BY c_mktsegment
         UNION ALL
-        SELECT 'o_orderpriority', o_orderpriority, count(*) FROM customer JOIN orders ON o_custkey = c_custkey
-        WHERE o_orderpriority NOT IN ({", ".join(f"'{name}'" for name in C.PAYMENT_METHODS)}) GROUP BY o_orderpriority""",
+        SELECT 'payment_method', o_orderpriority, count(*)
+        FROM orders WHERE o_orderpriority NOT IN ({_names(C.PAYMENT_METHODS)}) GROUP BY o_orderpriority""",
     "prediction_alignment": f"""{WITH}
         SELECT count(*) AS total_rows, count(*) FILTER (churn_prediction = is_churned) AS agreeing_rows,
                count(*) FILTER (churn_prediction = is_churned) / count(*) AS agreement_rate,
-               CAST(0 AS BIGINT) AS inconsistent_rows
+               count(*) FILTER (churn_prediction <> (churn_probability > CAST(0.5 AS DOUBLE))) AS inconsistent_rows
         FROM predictions""",
-    "saved_model_scores": f"{WITH} SELECT * FROM predictions",
-    "sql_function_view_scores": f"{WITH} SELECT * FROM predictions",
-    "stream_scoring": f"{WITH} SELECT * FROM predictions",
-    "daily_pipeline": f"{WITH} SELECT * FROM labeled",
+    "saved_model_scores": SCORED,
+    "sql_function_view_scores": SCORED,
+    "stream_scoring": SCORED,
+    "rescored_with_current_thresholds": SCORED,
+    "daily_pipeline": f"{WITH} {ROUNDED} labeled",
 }
