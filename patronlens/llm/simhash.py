@@ -267,8 +267,11 @@ def links(prints: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> Da
 
     if distance != 2:
         raise ValueError("crowds are linked through points within one bit, which is exact for two bits")
+    # fingerprints are few bytes but many copies: spread them as widely as the copies
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (
-        prints.mapInArrow(copies, "anchor long, fingerprint long, home boolean")
+        prints.repartition(tasks)
+        .mapInArrow(copies, "anchor long, fingerprint long, home boolean")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
     )
