@@ -22,7 +22,7 @@ def plain(text):
 
 
 def ours(text):
-    return np.frombuffer(ENCODER.encode([text])[0], dtype="<u4").tolist()
+    return np.frombuffer(next(ENCODER.encode([text])), dtype="<u4").tolist()
 
 
 @settings(max_examples=400, deadline=None)
@@ -38,11 +38,17 @@ def test_any_text_gives_the_ids_of_the_whole(text):
     assert ours(text) == plain(text)
 
 
-def test_long_texts_and_a_full_memory(monkeypatch):
+def test_long_texts_and_long_runs(monkeypatch):
     monkeypatch.setattr(tokens, "SEGMENT", 1000)
-    monkeypatch.setattr(tokens, "KEPT_PARTS", 50)
-    assert ours(LONG[:50_000]) == plain(LONG[:50_000])
-    assert ours("x" * 5000) == plain("x" * 5000)
+    for text in (LONG[:50_000], "x" * 5000, "ab " + "xy" * 100_000, " " * 50_000 + "a", "\n" * 1999 + "a", "é" * 1999):
+        assert ours(text) == plain(text)
+
+
+def test_every_kind_of_character_is_cut_alike():
+    points = [c for c in range(0x110000) if c % 61 == 0 and not 0xD800 <= c <= 0xDFFF]
+    for c in map(chr, points):
+        text = f"a{c}b {c}{c} 1{c}2,{c} {c}."
+        assert ours(text) == plain(text)
 
 
 def checked(rows, texts, length):
