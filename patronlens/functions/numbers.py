@@ -17,6 +17,15 @@ def zero_if_missing(column: str | Column) -> Column:
     return F.coalesce(column.cast("double"), F.lit(0.0))
 
 
+def mean_share(share: Column) -> Column:
+    """Mean of values from 0 to 1 with all their digits, which the order of the rows hardly touches: 24 bits of each are
+    summed exactly as a bigint, only what lies behind them as a double."""
+    unit = float(1 << 24)
+    front = F.floor(share * unit)
+    behind = share - front / unit
+    return (F.sum(front) / F.lit(unit) + F.sum(behind)) / F.nullif(F.count(share), F.lit(0))
+
+
 def has_nan(columns: list[str]) -> Column:
     """True when any of the (double) columns is NaN."""
     return reduce(or_, [F.coalesce(F.isnan(F.col(name).cast("double")), F.lit(False)) for name in columns])

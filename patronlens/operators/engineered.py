@@ -35,8 +35,12 @@ def fit_thresholds(features: DataFrame, method: str = "exact") -> Thresholds:
     """Both thresholds as plain numbers: they are stored with a model and used on streams.
 
     On an empty table they are infinite, so nobody is flagged."""
-    row = threshold_table(features, method).first()
-    return Thresholds(*[float("inf") if value is None else value for value in row])
+    return thresholds_of(threshold_table(features, method))
+
+
+def thresholds_of(table: DataFrame) -> Thresholds:
+    """The row of ``threshold_table`` as plain numbers."""
+    return Thresholds(*[float("inf") if value is None else value for value in table.first()])
 
 
 def with_engineered_features(features: DataFrame, thresholds: Thresholds) -> DataFrame:

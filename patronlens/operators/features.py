@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens import contract as C
-from patronlens.functions import age_in_days, mean_money, not_after, sum_money, uniform_draw
+from patronlens.functions import age_in_days, mean_money, mean_share, not_after, sum_money, uniform_draw
 
 
 def transaction_features(
@@ -46,7 +46,7 @@ def transaction_features(
             F.min("days").alias("days_since_last_transaction"),
             F.count_if(F.col("days") <= C.RECENT_DAYS).alias("transactions_last_30_days"),
             F.avg("days").alias("avg_days_between_transactions"),
-            F.avg(F.lit(1.0) / (F.col("days") + 1)).alias("recency_score"),
+            mean_share(F.lit(1.0) / (F.col("days") + 1)).alias("recency_score"),
             F.bit_or("usual_method").alias("usual_methods"),
             F.count_distinct("other_method").alias("other_methods"),
         )

@@ -67,10 +67,14 @@ def with_scores(inputs: DataFrame, model: ChurnModel) -> DataFrame:
     return scored.withColumn("churn_prediction", F.col("churn_probability") > C.DECISION_THRESHOLD)
 
 
-def score_features(features: DataFrame, model: ChurnModel) -> DataFrame:
-    """The feature rows as they are plus the two score columns. Works on batch and streaming frames alike."""
+def score_features(features: DataFrame, model: ChurnModel, thresholds: Thresholds | None = None) -> DataFrame:
+    """The feature rows as they are plus the two score columns. Works on batch and streaming frames alike.
+
+    ``thresholds`` are those of the whole feature table as it is now, which batch jobs pass; without them the
+    model's own, from when it was trained, are used, which is all that a stream has.
+    """
     kept = features.columns
-    scored = with_scores(with_engineered_features(features, model.thresholds), model)
+    scored = with_scores(with_engineered_features(features, thresholds or model.thresholds), model)
     return scored.select(*kept, "churn_probability", "churn_prediction")
 
 

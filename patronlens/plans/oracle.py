@@ -152,6 +152,9 @@ REPORT = f"""
 SCORED = f"{WITH} SELECT * REPLACE (round(recency_score, 9) AS recency_score, round(churn_probability, 9) AS churn_probability) FROM predictions"
 
 
+CANDIDATES = "(VALUES (0, 'RandomForest'), (1, 'LogisticRegression')) AS c(position, model_type)"
+
+
 def _names(values: list[str]) -> str:
     return ", ".join(f"'{value}'" for value in values)
 
@@ -314,5 +317,30 @@ ORACLE: dict[str, str] = {
     "sql_function_view_scores": SCORED,
     "stream_scoring": SCORED,
     "rescored_with_current_thresholds": SCORED,
-    "daily_pipeline": f"{WITH} {ROUNDED} labeled",
+    "daily_pipeline": f"""{WITH} {ROUNDED} (
+        SELECT *, true AS is_probability, true AS decision_follows, true AS function_agrees FROM labeled)""",
+    "trained_model_comparison": f"""{WITH}
+        SELECT c.position, c.model_type, count(*) FILTER (NOT is_test) AS train_rows, count(*) FILTER (is_test) AS test_rows,
+               (SELECT count(DISTINCT fold) FROM split) AS folds, 0 AS broken_promises
+        FROM split, {CANDIDATES} GROUP BY c.position, c.model_type""",
+    "cross_validated_auc": f"""{WITH}
+        SELECT c.model_type, CAST(fold AS INTEGER) AS fold, count(*) AS fold_rows, CAST(sum(label) AS BIGINT) AS churned,
+               true AS auc_is_valid
+        FROM split, {CANDIDATES} GROUP BY c.model_type, fold""",
+    "feature_importances": " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, true AS is_share, true AS total_is_one" for name in C.MODEL_FEATURES
+    ),
+    "trained_model_scores": f"""{WITH}
+        SELECT c.model_type, user_id, is_churned, true AS is_probability, true AS decision_follows, true AS same_after_reload
+        FROM labeled, {CANDIDATES}""",
+    "scoring_functions_by_name": f"""{WITH}
+        SELECT user_id, round(churn_probability, 9) AS churn_probability, churn_prediction, churn_prediction AS churn,
+               true AS forest_agrees, true AS same_again
+        FROM predictions""",
+    "raw_table_layouts": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {i} AS position, '{field.name}' AS column_name, "
+        f"'{field.dataType.simpleString()}' AS type, 0 AS stored_rows, (SELECT count(*) FROM {source}) AS source_rows"
+        for (table, layout), source in zip(C.RAW_TABLES.items(), ("customer", "part", "orders"))
+        for i, field in enumerate(layout)
+    ),
 }

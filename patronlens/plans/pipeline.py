@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from patronlens.operators.engineered import Thresholds, threshold_table, thresholds_of
 from patronlens.operators.features import user_features, with_churn_label
 from patronlens.operators.scoring import prediction_summary, score_features
-from patronlens.plans.training import FOREST, LOGISTIC, TrainingSettings, train_churn_model
+from patronlens.plans.training import TrainingResult, TrainingSettings, train_churn_model
 from patronlens.sources.model_store import ModelStore
-from patronlens.sources.sql_functions import deploy_functions
+from patronlens.sources.sql_functions import create_prediction_view, deploy_functions, require_deployable
 from patronlens.sources.warehouse import Warehouse
 
 MONDAY = 0
@@ -22,16 +23,21 @@ class DailyRun:
     retrained: bool
     model_version: int | None
     features: DataFrame
+    thresholds: Thresholds  # of the stored features
     predictions: DataFrame
     summary: DataFrame
+    training: TrainingResult | None
+    view: str | None  # of a logistic model; a forest has no function that a view could call
 
 
 def build_features(warehouse: Warehouse, as_of: dt.date | None = None) -> DataFrame:
-    """Replace ``features.user_features`` from the raw tables. Returns the stored table: every later figure
-    describes what was stored."""
+    """Replace ``features.user_features`` from the raw tables, and ``features.thresholds`` with its percentiles.
+    Returns the stored table: every later figure describes what was stored."""
     users = warehouse.table("raw_data", "raw_users")
     transactions = warehouse.table("raw_data", "raw_transactions")
-    return warehouse.save(with_churn_label(user_features(users, transactions, as_of)), "features", "user_features")
+    stored = warehouse.save(with_churn_label(user_features(users, transactions, as_of)), "features", "user_features")
+    warehouse.save(threshold_table(stored), "features", "thresholds")
+    return stored
 
 
 def run_daily(
@@ -41,31 +47,53 @@ def run_daily(
     landed: dict[str, str | list[str]] | None = None,
     retrain: bool | None = None,
     settings: TrainingSettings | None = None,
+    append: bool = False,
 ) -> DailyRun:
-    """One run for ``as_of``. ``landed`` maps raw tables to CSV paths to load first.
+    """One run for ``as_of``. ``landed`` maps raw tables to CSV paths to load first: each replaces its table, or with
+    ``append`` adds the files of its folder that no run has loaded yet.
 
-    Retrains on Mondays, when there is no model yet, or as ``retrain`` says. Any failing step raises; tables
+    Scores use the thresholds of today's features. Retrains on Mondays, when there is no model yet, or as ``retrain`` says. Any failing step raises; tables
     of earlier steps stay as written.
     """
     warehouse.create()
     for table, path in (landed or {}).items():
-        warehouse.load_csv(table, path)
+        if append:
+            warehouse.append_csv(table, path)
+        else:
+            warehouse.load_csv(table, path)
     features = build_features(warehouse, as_of)
 
     model = models.latest()
     if retrain is None:
         retrain = as_of.weekday() == MONDAY or model is None
-    version = None
+    version = training = None
     if retrain:
-        trained = train_churn_model(features, settings).model
-        if trained is None:
+        training = train_churn_model(features, settings)
+        if training.model is None:
             raise RuntimeError("no candidate model ranks churned customers above others")
-        version = models.publish(trained)
-        model = trained
+        require_deployable(training.model)
+        version = models.publish(training.model)
+        model = training.model
     elif model is None:
         raise RuntimeError("there is no published model and training was switched off")
 
-    if model.model_type in (FOREST, LOGISTIC):
-        deploy_functions(warehouse.spark, f"{warehouse.prefix}ml_models", model)
-    predictions = warehouse.save(score_features(features, model), "ml_models", "customer_churn_predictions")
-    return DailyRun(retrain, version, features, predictions, prediction_summary(predictions))
+    schema, view = f"{warehouse.prefix}ml_models", warehouse.name("ml_models", "current_churn_predictions")
+    tables = warehouse.name("features", "user_features"), warehouse.name("features", "thresholds")
+    if model.linear is None:
+        warehouse.spark.sql(f"DROP VIEW IF EXISTS {view}")  # before the functions that it calls
+    deploy_functions(warehouse.spark, schema, model)
+    if model.linear is not None:
+        create_prediction_view(warehouse.spark, view, *tables, schema)
+    thresholds = thresholds_of(warehouse.table("features", "thresholds"))
+    scored = score_features(features, model, thresholds)
+    predictions = warehouse.save(scored, "ml_models", "customer_churn_predictions")
+    return DailyRun(
+        retrain,
+        version,
+        features,
+        thresholds,
+        predictions,
+        prediction_summary(predictions),
+        training,
+        view if model.linear is not None else None,
+    )

@@ -5,15 +5,26 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens import contract as C
 from patronlens.operators import dataset, engineered, features, joins, metrics, quality, reports, scoring
 from patronlens.plans.pipeline import run_daily
-from patronlens.plans.training import FOREST, LOGISTIC, TrainingSettings, train_churn_model
-from patronlens.shared import new_path, write_table, written
+from patronlens.plans.training import (
+    FOREST,
+    LOGISTIC,
+    TrainingResult,
+    TrainingSettings,
+    gradient_residual,
+    linear_form,
+    train_churn_model,
+)
+from patronlens.plans.training import feature_importances as importances_of
+from patronlens.shared import deleted_afterwards, kept_afterwards, new_path, on_leaving, write_table, written
 from patronlens.sources import sql_functions, star
 from patronlens.sources.csv_files import read_csv, write_csv
 from patronlens.sources.model_store import ModelStore
@@ -27,7 +38,6 @@ FIXED_MODEL = scoring.LinearModel(
     weights=(0.01, -0.05, -2e-07, 1e-06, 0.002, -0.25, 1e-06, -0.3, -0.2, -2.0, 0.05, -0.6),
     intercept=-0.1,
 )
-SMALL_TRAINING = TrainingSettings(trees=20, folds=0)
 
 
 # --- inputs ----------------------------------------------------------------------------------------
@@ -136,27 +146,45 @@ def saved_model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _new_warehouse(spark: SparkSession) -> Warehouse:
-    return Warehouse(spark, f"run_{uuid.uuid4().hex}_", new_path(spark, "warehouse")).create()
+    warehouse = Warehouse(spark, f"run_{uuid.uuid4().hex}_", new_path(spark, "warehouse")).create()
+    on_leaving(warehouse.drop)
+    return warehouse
 
 
 def sql_function_view_scores(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _new_warehouse(spark)
     stored = warehouse.save(_labeled(spark, folder), "features", "user_features")
+    warehouse.save(engineered.threshold_table(stored), "features", "thresholds")
     schema = f"{warehouse.prefix}ml_models"
     sql_functions.create_sql_functions(spark, schema, FIXED_MODEL)
     view = sql_functions.create_prediction_view(
         spark,
         warehouse.name("ml_models", "customer_churn_predictions"),
         warehouse.name("features", "user_features"),
+        warehouse.name("features", "thresholds"),
         schema,
-        engineered.fit_thresholds(stored),
     )
     return _scored(view)
 
 
+def raw_table_layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared raw tables, created empty, with the rows that the source has for each."""
+    warehouse = _new_warehouse(spark)
+    warehouse.create_raw_tables()
+    sources = {"raw_users": _users, "raw_products": _products, "raw_transactions": _transactions}
+    lines = []
+    for table, layout in C.RAW_TABLES.items():
+        stored = warehouse.table("raw_data", table)
+        rows = stored.unionByName(sources[table](spark, folder), allowMissingColumns=True).count()
+        lines += [(table, i, f.name, f.dataType.simpleString(), stored.count(), rows) for i, f in enumerate(stored.schema)]
+    return spark.createDataFrame(
+        lines, "table_name string, position int, column_name string, type string, stored_rows long, source_rows long"
+    )
+
+
 def daily_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV files through load, features, training and scoring; the stored predictions without the scores,
-    which depend on the training run."""
+    """CSV files through load, features, training of both candidates and scoring; the stored predictions, with checks
+    of the scores in place of the scores, which depend on the training run."""
     landed = {}
     for table, df in (
         ("raw_users", _users(spark, folder)),
@@ -167,14 +195,13 @@ def daily_pipeline(spark: SparkSession, folder: str) -> DataFrame:
         complete = {field.name: F.lit(None).cast(field.dataType) for field in C.RAW_TABLES[table]}
         complete |= {name: F.col(name) for name in df.columns}
         write_csv(df.select([complete[name].alias(name) for name in C.RAW_TABLES[table].names]), landed[table])
-    run = run_daily(
-        _new_warehouse(spark),
-        ModelStore(spark, new_path(spark, "models")),
-        AS_OF,
-        landed,
-        settings=TrainingSettings(candidates=(LOGISTIC,), folds=0),
-    )
-    return _scored(run.predictions.drop("churn_probability", "churn_prediction"))
+    warehouse = _new_warehouse(spark)
+    run = run_daily(warehouse, ModelStore(spark, new_path(spark, "models")), AS_OF, landed, append=True)
+    names = warehouse.name("features", "user_features"), warehouse.name("features", "thresholds")
+    called = spark.sql(sql_functions.prediction_query(*names)).select("user_id", F.col("churn_probability").alias("called"))
+    agrees = (F.abs(F.col("churn_probability") - F.col("called")) < 1e-9).alias("function_agrees")
+    checked = run.predictions.join(called, "user_id").select("*", *_score_checks(), agrees)
+    return _rounded(checked.drop("churn_probability", "churn_prediction", "called"), ["recency_score"])
 
 
 # --- features, labels, model inputs ----------------------------------------------------------------
@@ -257,32 +284,134 @@ def auc_small_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --- training --------------------------------------------------------------------------------------
+#
+# Fits at the stated settings: both candidates, 200 trees, five folds. The fitted numbers are not SQL's to know, so the
+# queries return what follows from the tables next to whether the fitted results keep their promises.
+
+
+@lru_cache(maxsize=2)
+def _trained_once(spark: SparkSession, folder: str) -> tuple[DataFrame, TrainingResult]:
+    stored = _stored_features(spark, folder)
+    return stored, train_churn_model(stored)
+
+
+def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, TrainingResult]:
+    """The feature table and what was trained on it; once per session and folder."""
+    with kept_afterwards():
+        return _trained_once(spark, folder)
+
+
+def _rank_auc(scored: DataFrame) -> float:
+    """The area under the ROC curve by another road than ``metrics``: the curve of the evaluator in Spark."""
+    ranked = scored.select(F.col("label").cast("double").alias("label"), F.col("churn_probability").alias("score"))
+    return BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(ranked)
 
 
 def trained_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    return train_churn_model(_stored_features(spark, folder), SMALL_TRAINING).metrics
+    """Per candidate: its rows and folds, and how many promises its results break."""
+    _, result = _trained(spark, folder)
+    counts = {row["is_test"]: row["count"] for row in result.split.groupBy("is_test").count().collect()}
+    lines = result.metrics.orderBy("position").collect()
+    best = max(lines, key=lambda line: (line["auc"], -line["position"]))
+    rows = []
+    for line in lines:
+        name = line["model_type"]
+        scored = result.scored[name]
+        accuracy = scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
+        reported = result.reports[name].where("class = 'accuracy'").first()["f1_score"]
+        folds = [row["auc"] for row in result.fold_scores.where(F.col("model_type") == name).collect()]
+        kept = [
+            abs(line["accuracy"] - accuracy) < 1e-12 and abs(reported - accuracy) < 1e-12,
+            abs(line["auc"] - _rank_auc(scored)) < 1e-9,
+            abs(line["cv_auc_mean"] - sum(folds) / len(folds)) < 1e-12 and 0 <= line["cv_auc_sd"] <= 0.5,
+            line["selected"] == (line is best),
+        ]
+        if name == LOGISTIC:
+            train = result.split.where(~F.col("is_test"))
+            kept.append(round(gradient_residual(result.fitted[name], train, TrainingSettings()), 6) == 0)
+        rows.append((line["position"], name, counts[False], counts[True], len(folds), kept.count(False)))
+    return spark.createDataFrame(
+        rows, "position int, model_type string, train_rows long, test_rows long, folds long, broken_promises long"
+    )
 
 
 def cross_validated_auc(spark: SparkSession, folder: str) -> DataFrame:
-    settings = TrainingSettings(candidates=(LOGISTIC,))
-    return train_churn_model(_stored_features(spark, folder), settings).fold_scores
+    """Per candidate and fold: its rows, its churned customers, and whether its AUC is one."""
+    _, result = _trained(spark, folder)
+    rows = result.split.groupBy("fold").agg(F.count(F.lit(1)).alias("fold_rows"), F.sum("label").alias("churned"))
+    return result.fold_scores.join(rows, "fold").select(
+        "model_type", "fold", "fold_rows", "churned", F.col("auc").between(0, 1).alias("auc_is_valid")
+    )
 
 
 def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
-    settings = TrainingSettings(candidates=(FOREST,), trees=20, folds=0)
-    return train_churn_model(_stored_features(spark, folder), settings).importances
+    """Per model input of the forest: whether its importance is a share, and whether all add up to one."""
+    _, result = _trained(spark, folder)
+    found = importances_of(spark, result.fitted[FOREST])
+    total = found.agg(F.abs(F.sum("importance") - 1) < 1e-9).first()[0]
+    return found.select("feature", F.col("importance").between(0, 1).alias("is_share"), F.lit(total).alias("total_is_one"))
+
+
+def _score_checks() -> list[Column]:
+    return [
+        F.col("churn_probability").between(0, 1).alias("is_probability"),
+        (F.col("churn_prediction") == (F.col("churn_probability") > C.DECISION_THRESHOLD)).alias("decision_follows"),
+    ]
 
 
 def trained_model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Train both candidates, publish the better one, load it back and score every customer."""
-    stored = _stored_features(spark, folder)
-    store = ModelStore(spark, new_path(spark, "models"))
-    store.publish(train_churn_model(stored, SMALL_TRAINING).model)
-    return scoring.score_features(stored, store.latest()).select(
-        "user_id", "is_churned", "churn_probability", "churn_prediction"
+    """Publish each candidate, load it back, score every customer: are the scores those of the fitted model?"""
+    stored, result = _trained(spark, folder)
+    store, tables = ModelStore(spark, new_path(spark, "models")), []
+    for name, fitted in result.fitted.items():
+        model = scoring.ChurnModel(name, result.model.thresholds, linear_form(fitted), fitted)
+        store.publish(model)
+        before = scoring.score_features(stored, model).select("user_id", F.col("churn_probability").alias("before"))
+        after = scoring.score_features(stored, store.latest()).join(before, "user_id")
+        same = (F.abs(F.col("churn_probability") - F.col("before")) < 1e-12).alias("same_after_reload")
+        tables.append(after.select(F.lit(name).alias("model_type"), "user_id", "is_churned", *_score_checks(), same))
+    return reduce(DataFrame.unionAll, tables)
+
+
+def scoring_functions_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The three SQL functions after a logistic model, a forest and the logistic model again were deployed."""
+    stored, result = _trained(spark, folder)
+    thresholds = write_table(engineered.threshold_table(stored), "thresholds")
+    schema = f"run_{uuid.uuid4().hex}"
+    place = new_path(spark, "functions")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{place}'")
+    on_leaving(lambda: spark.sql(f"DROP SCHEMA {schema} CASCADE"))
+    limits = engineered.fit_thresholds(stored)
+    fixed = scoring.ChurnModel(LOGISTIC, limits, FIXED_MODEL)
+    forest = scoring.ChurnModel(FOREST, limits, pipeline=result.fitted[FOREST])
+    stored.createOrReplaceTempView("features_to_score")
+    arguments = sql_functions.model_arguments(f"parquet.`{thresholds}`")
+    paths = []
+    for model in (fixed, forest, fixed):
+        sql_functions.deploy_functions(spark, schema, model)
+        called = spark.sql(
+            f"SELECT user_id, predict_churn_probability({arguments}) AS churn_probability, "
+            f"predict_churn_binary({arguments}) AS churn_prediction, predict_churn({arguments}) AS churn FROM features_to_score"
+        )
+        paths.append(write_table(called, "called"))
+    expected = scoring.score_features(stored, forest).select("user_id", F.col("churn_probability").alias("expected"))
+    by_forest = spark.read.parquet(paths[1]).join(expected, "user_id")
+    agrees = (F.abs(F.col("churn_probability") - F.col("expected")) < 1e-9).alias("forest_agrees")
+    again = spark.read.parquet(paths[2]).exceptAll(spark.read.parquet(paths[0])).count() == 0
+    return (
+        spark.read.parquet(paths[2])
+        .join(by_forest.select("user_id", agrees), "user_id")
+        .withColumns({"churn_probability": F.round("churn_probability", C.SCORE_DECIMALS), "same_again": F.lit(again)})
     )
 
 
+def rescored_with_current_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """A model that was trained when other thresholds held, scoring today's table."""
+    stored = _stored_features(spark, folder)
+    old = scoring.ChurnModel(LOGISTIC, engineered.Thresholds(1.0, 1.0), FIXED_MODEL)
+    return _scored(scoring.score_features(stored, old, engineered.fit_thresholds(stored)))
+
+
 # --- flagship --------------------------------------------------------------------------------------
 
 
@@ -302,7 +431,7 @@ def segment_risk_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_gzip_roundtrip": csv_gzip_roundtrip,
     "stream_ingest_available_now": stream_ingest_available_now,
     "transaction_lines_priced": lambda s, d: reports.priced_lines(_lines(s, d), _products(s, d)),
@@ -373,4 +502,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_validated_auc": cross_validated_auc,
     "feature_importances": feature_importances,
     "trained_model_scores": trained_model_scores,
+    "scoring_functions_by_name": scoring_functions_by_name,
+    "rescored_with_current_thresholds": rescored_with_current_thresholds,
+    "raw_table_layouts": raw_table_layouts,
 }
+
+# Queries that make tables on their way: what they return is written once, and everything else is deleted.
+_WITH_TABLES = [
+    "csv_gzip_roundtrip",
+    "stream_ingest_available_now",
+    "p80_thresholds",
+    "p80_thresholds_by_rank",
+    "engineered_features",
+    "model_matrix",
+    "stratified_split",
+    "stratified_folds",
+    "stratified_split_counts",
+    "stratified_fold_counts",
+    "standardized_features",
+    "churn_predictions",
+    "scoring_smoke",
+    "prediction_summary",
+    "high_risk_customers",
+    "segment_risk_report",
+    "confusion_matrix",
+    "classification_report",
+    "accuracy_and_auc",
+    "prediction_alignment",
+    "saved_model_scores",
+    "sql_function_view_scores",
+    "stream_scoring",
+    "daily_pipeline",
+    "trained_model_comparison",
+    "cross_validated_auc",
+    "feature_importances",
+    "trained_model_scores",
+    "scoring_functions_by_name",
+    "rescored_with_current_thresholds",
+    "raw_table_layouts",
+]
+
+
+def _tidy(query: Callable[[SparkSession, str], DataFrame], name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_path(spark, f"result-{name}")
+        with deleted_afterwards(spark):
+            result = query(spark, folder)
+            result.write.parquet(path)
+        return spark.read.schema(result.schema).parquet(path)
+
+    return run
+
+
+QUERIES = {name: _tidy(query, name) if name in _WITH_TABLES else query for name, query in _ALL.items()}

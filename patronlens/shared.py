@@ -2,41 +2,38 @@
 
 A cluster names a folder that every executor can reach in ``spark.checkpoint.dir``. Intermediate tables
 live there as Parquet, so a lost executor costs a re-read, never a recomputation of the whole lineage, and
-later steps still prune columns and push filters down.
+later steps still prune columns and push filters down. A session that names no folder uses that of its warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@lru_cache(maxsize=None)
-def _local_scratch(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="patronlens-")
+_CHECKPOINTS, _WAREHOUSE = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder. Only a local session without one falls back to a temporary folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_scratch(context.applicationId)
+    """The folder that the session names for what executors share."""
+    return (spark.conf.get(_CHECKPOINTS, None) or spark.conf.get(_WAREHOUSE)).rstrip("/")
 
 
 def application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/patronlens/{spark.sparkContext.applicationId}"
 
 
+_scopes: list[list[str | Callable[[], object]]] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def write_table(df: DataFrame, label: str) -> str:
@@ -51,10 +48,55 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_table(df, label))
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it was there. Of several callers one succeeds."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place.getParent())
+    return files.createNewFile(place)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a table of the shared folder that nothing reads any more."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+@contextmanager
+def deleted_afterwards(spark: SparkSession) -> Iterator[None]:
+    """Delete every path made inside the block when it ends; write what should stay to a path made before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for item in reversed(_scopes.pop()):
+            item() if callable(item) else delete(spark, item)
+
+
+def on_leaving(action: Callable[[], object]) -> None:
+    """Call ``action`` when the block of ``deleted_afterwards`` around it ends."""
+    if _scopes:
+        _scopes[-1].append(action)
+
+
+@contextmanager
+def kept_afterwards() -> Iterator[None]:
+    """Paths made inside this block stay, whatever block is around it."""
+    outer = _scopes[:]
+    _scopes.clear()
+    try:
+        yield
+    finally:
+        _scopes[:] = outer
 
 
 def drop_written(spark: SparkSession) -> None:

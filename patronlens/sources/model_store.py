@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.engineered import Thresholds
 from patronlens.operators.scoring import ChurnModel, LinearModel
+from patronlens.shared import create_once, exists
 
 REGISTRY_SCHEMA = """
     version bigint, path string, model_type string, feature_columns array<string>,
@@ -30,13 +31,19 @@ class ModelStore:
         return f"{self.root}/registry"
 
     def _entries(self):
-        # The registry folder is created empty, so that reading it before the first model works.
-        self.spark.createDataFrame([], REGISTRY_SCHEMA).write.mode("ignore").parquet(self._registry)
+        if not exists(self.spark, self._registry):
+            return self.spark.createDataFrame([], REGISTRY_SCHEMA)
         return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self._registry)
 
+    def _new_version(self) -> int:
+        """A number above all published ones that no other run can take: creating its marker file succeeds once."""
+        version = (self._entries().agg(F.max("version")).first()[0] or 0) + 1
+        while not create_once(self.spark, f"{self.root}/versions/{version}"):
+            version += 1
+        return version
+
     def publish(self, model: ChurnModel) -> int:
-        newest = self._entries().agg(F.max("version")).first()[0] or 0
-        version = newest + 1
+        version = self._new_version()
         path = None
         if model.pipeline is not None:
             path = f"{self.root}/models/{version}-{uuid.uuid4().hex}"

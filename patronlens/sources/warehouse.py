@@ -1,4 +1,4 @@
-"""Schemas and overwrite-only tables of the analytics warehouse."""
+"""Schemas and tables of the analytics warehouse: replaced as a whole, or appended to file by file."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from patronlens.contract import RAW_TABLES
 from patronlens.sources.csv_files import read_csv
+from patronlens.streaming.jobs import ingest_new_files
 
 # The four schemas.
 SCHEMAS = ["raw_data", "transformed", "features", "ml_models"]
@@ -33,6 +34,11 @@ class Warehouse:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{schema}{where}")
         return self
 
+    def drop(self) -> None:
+        """Drop the schemas with all they hold."""
+        for schema in SCHEMAS:
+            self.spark.sql(f"DROP SCHEMA IF EXISTS {self.prefix}{schema} CASCADE")
+
     def table(self, schema: str, table: str) -> DataFrame:
         return self.spark.table(self.name(schema, table))
 
@@ -51,5 +57,21 @@ class Warehouse:
         return self.save(read_csv(self.spark, path, RAW_TABLES[table]), "raw_data", table)
 
 
+    def append_csv(self, table: str, landing: str) -> DataFrame:
+        """Add the files of a landing folder that no run has loaded yet; each is loaded once, also after a failure.
+
+        The raw table is then a view of the rows ingested so far. A table that was loaded as a whole stays one.
+        """
+        name = self.name("raw_data", table)
+        if self.spark.catalog.tableExists(name) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            raise ValueError(f"{name} was loaded as a whole; drop it before appending")
+        folder = f"{self.spark.catalog.getDatabase(f'{self.prefix}raw_data').locationUri}/_ingested"
+        rows = f"{folder}/{table}"
+        ingest_new_files(self.spark, landing, RAW_TABLES[table], rows, f"{folder}/{table}_progress")
+        columns = ", ".join(RAW_TABLES[table].names)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{rows}`")
+        return self.table("raw_data", table)
+
+
 def lower_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])

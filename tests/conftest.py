@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.adaptive.enabled", "false")  # tiny tables; tests of queries and joins switch it on
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -137,3 +137,25 @@ def test_statistics_and_distribution(spark):
     assert [row["customers"] for row in counts] == [50 - churned, churned]
     assert counts[1]["share_pct"] == pytest.approx(churned * 2)
     assert features.feature_statistics(df.limit(0)).first()[:3] == (0, 0, None)
+
+
+def test_amounts_below_a_cent_are_kept(spark):
+    rows = [(1, 1, 0.004, 1, "PayPal"), (2, 2, 0.1, 1, "PayPal"), (3, 2, 0.1, 1, "PayPal"), (4, 2, 0.1, 1, "PayPal"), (5, 3, 1234567.891, 1, None)]
+    rows += [(10 + i, 4, 0.0005 * i, 1, "PayPal") for i in range(1, 40)]
+    for row in features.transaction_features(samples.transactions(spark, rows), samples.AS_OF).collect():
+        assert row["min_transaction_amount"] <= row["avg_transaction_amount"] <= row["max_transaction_amount"]
+        own = [r[2] for r in rows if r[1] == row["user_id"]]
+        assert row["total_spent"] == pytest.approx(sum(own), rel=1e-12)
+    one = features.transaction_features(samples.transactions(spark, rows[:1]), samples.AS_OF).first()
+    assert (one["total_spent"], one["avg_transaction_amount"]) == (0.004, 0.004)
+
+
+def test_recency_is_stored_with_all_its_digits(spark):
+    rows = [(i, 1, 1.0, i * 37 % 300, "PayPal") for i in range(1, 8)]
+    got = features.transaction_features(samples.transactions(spark, rows), samples.AS_OF).first()["recency_score"]
+    assert got == pytest.approx(sum(1 / (r[3] + 1) for r in rows) / 7, rel=1e-14) and got != round(got, 9)
+
+
+def test_too_many_usual_methods_is_an_error(spark):
+    with pytest.raises(ValueError, match="62"):
+        features.transaction_features(samples.transactions(spark, []), samples.AS_OF, [str(i) for i in range(63)])

@@ -38,6 +38,15 @@ def test_percentiles_match_numpy(spark, name, method):
         assert found[p] == pytest.approx(expected[p], rel=1e-12)
 
 
+def test_both_methods_agree_to_the_last_bit(spark):
+    columns = {f"x{i}": np.random.default_rng(i).lognormal(0, 2, 1501) for i in range(12)}
+    rows = [tuple(float(v) for v in row) for row in zip(*columns.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{name} double" for name in columns))
+    wanted = [0.1, 0.25, 0.8, 0.95]
+    one = percentiles.exact_percentiles(df, list(columns), wanted)
+    assert sorted(one.collect()) == sorted(percentiles.percentiles_by_rank(df, list(columns), wanted).collect())
+
+
 def test_several_columns_and_an_empty_one(spark):
     df = spark.createDataFrame([(i, float(i * i), None) for i in range(101)], "a int, b double, c double")
     for in_one_task in (0, 1000):

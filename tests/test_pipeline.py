@@ -3,10 +3,10 @@ import datetime as dt
 import pytest
 
 from patronlens import contract as C
-from patronlens.operators.engineered import Thresholds
+from patronlens.operators.engineered import Thresholds, fit_thresholds
 from patronlens.operators.scoring import ChurnModel, LinearModel, score_features
 from patronlens.plans.pipeline import run_daily
-from patronlens.plans.training import LOGISTIC, TrainingSettings
+from patronlens.plans.training import BOOSTED, LOGISTIC, TrainingSettings
 from patronlens.shared import new_path, write_table
 from patronlens.sources.csv_files import write_csv
 from patronlens.sources.model_store import ModelStore
@@ -44,16 +44,66 @@ def test_daily_runs(spark, landed):
     assert first.summary.first()["total_customers"] == 290
     assert first.predictions.columns == [*C.USER_FEATURES, "is_churned", "churn_probability", "churn_prediction"]
 
-    schema = "pipeline_test_ml_models"
-    by_function = spark.sql(
-        prediction_query("pipeline_test_features.user_features", schema, models.latest().thresholds)
-    )
+    tables = "pipeline_test_features.user_features", "pipeline_test_features.thresholds"
     compared = ["user_id", "churn_probability", "churn_prediction"]
-    assert sorted(by_function.select(compared).collect()) == sorted(first.predictions.select(compared).collect())
+    stored = sorted(first.predictions.select(compared).collect())
+    for query in (prediction_query(*tables), prediction_query(*tables, "pipeline_test_ml_models"), f"SELECT * FROM {first.view}"):
+        assert sorted(spark.sql(query).select(compared).collect()) == stored
 
     second = run_daily(warehouse, models, TUESDAY, settings=QUICK)
     assert (second.retrained, second.model_version) == (False, None)
     assert second.features.agg({"days_since_last_transaction": "min"}).first()[0] == 1
+    assert first.training.metrics.count() == 1 and second.training is None
+
+
+def test_scores_follow_the_thresholds_of_the_day(spark, landed):
+    """Monday's model, Tuesday's amounts doubled: flags and scores are those of Tuesday's table."""
+    warehouse = Warehouse(spark, "pipeline_days_", new_path(spark, "warehouse"))
+    models = ModelStore(spark, new_path(spark, "models"))
+    monday = run_daily(warehouse, models, MONDAY, landed, settings=QUICK)
+    doubled = spark.read.schema(C.RAW_TRANSACTIONS).option("header", True).csv(landed["raw_transactions"])
+    path = new_path(spark, "doubled")
+    write_csv(doubled.withColumn("total_amount", doubled.total_amount * 2), path)
+    tuesday = run_daily(warehouse, models, TUESDAY, {"raw_transactions": path})
+    assert tuesday.thresholds.total_spent == 2 * monday.thresholds.total_spent == fit_thresholds(tuesday.features).total_spent
+    model = models.latest()
+    assert model.thresholds == monday.thresholds
+    compared = ["user_id", "churn_probability", "churn_prediction"]
+    fresh = sorted(score_features(tuesday.features, model, fit_thresholds(tuesday.features)).select(compared).collect())
+    assert sorted(tuesday.predictions.select(compared).collect()) == fresh
+    assert sorted(spark.table(tuesday.view).select(compared).collect()) == fresh
+    assert sorted(score_features(tuesday.features, model).select(compared).collect()) != fresh  # what a stream would say
+
+
+def test_landing_only_todays_file_keeps_the_history(spark, landed):
+    warehouse = Warehouse(spark, "pipeline_append_", new_path(spark, "warehouse"))
+    models = ModelStore(spark, new_path(spark, "models"))
+    folder = new_path(spark, "landing")
+    rows = spark.read.schema(C.RAW_TRANSACTIONS).option("header", True).csv(landed["raw_transactions"])
+    inbox = {"raw_users": landed["raw_users"], "raw_transactions": f"{folder}/*"}
+    write_csv(rows.where("transaction_id <= 1500"), f"{folder}/monday")
+
+    def transactions_seen(day):  # the features are replaced by the next run
+        run = run_daily(warehouse, models, day, inbox, settings=QUICK, append=True)
+        return run.features.agg({"total_transactions": "sum"}).first()[0]
+
+    assert transactions_seen(MONDAY) == 1500
+    write_csv(rows.where("transaction_id > 1500"), f"{folder}/tuesday")
+    assert transactions_seen(TUESDAY) == 2000
+    assert transactions_seen(TUESDAY) == 2000
+    whole = Warehouse(spark, "pipeline_whole_", new_path(spark, "warehouse")).create()
+    whole.load_csv("raw_users", landed["raw_users"])
+    with pytest.raises(ValueError, match="as a whole"):
+        whole.append_csv("raw_users", landed["raw_users"])
+
+
+def test_a_model_that_cannot_be_deployed_fails_before_the_scores(spark, landed):
+    warehouse = Warehouse(spark, "pipeline_boosted_", new_path(spark, "warehouse"))
+    models = ModelStore(spark, new_path(spark, "models"))
+    with pytest.raises(ValueError, match="no SQL functions"):
+        run_daily(warehouse, models, MONDAY, landed, settings=TrainingSettings(candidates=(BOOSTED,), trees=2, folds=0))
+    assert models.latest() is None
+    assert not spark.catalog.tableExists("pipeline_boosted_ml_models.customer_churn_predictions")
 
 
 def test_first_run_trains_on_any_day_and_failures_raise(spark, landed):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patronlens import contract as C
 from patronlens.operators import scoring
 from patronlens.operators.dataset import with_class_weight
-from patronlens.operators.engineered import Thresholds, fit_thresholds, model_matrix
+from patronlens.operators.engineered import Thresholds, fit_thresholds, model_matrix, threshold_table
 from patronlens.plans import training
 from patronlens.shared import new_path
 from patronlens.sources import sql_functions
@@ -95,9 +95,14 @@ def test_sql_functions_and_view_equal_the_expression(spark, features):
     warehouse = Warehouse(spark, "scoring_test_", new_path(spark, "warehouse")).create()
     stored = warehouse.save(features.union(odd_rows(features)), "features", "user_features")
     thresholds = fit_thresholds(stored)
+    warehouse.save(threshold_table(stored), "features", "thresholds")
     sql_functions.create_sql_functions(spark, "scoring_test_ml_models", LINEAR)
     view = sql_functions.create_prediction_view(
-        spark, "scoring_test_ml_models.predictions", "scoring_test_features.user_features", "scoring_test_ml_models", thresholds
+        spark,
+        "scoring_test_ml_models.predictions",
+        "scoring_test_features.user_features",
+        "scoring_test_features.thresholds",
+        "scoring_test_ml_models",
     )
     expected = scoring.score_features(stored, scoring.ChurnModel("LogisticRegression", thresholds, LINEAR))
     assert view.columns == expected.columns
@@ -111,10 +116,49 @@ def test_sql_functions_and_view_equal_the_expression(spark, features):
     assert margin == (pytest.approx(1 / (1 + math.exp(-0.1))), True, True)
 
 
-def test_infinite_thresholds_in_sql(spark):
-    text = sql_functions.prediction_query("t", "s", Thresholds(math.inf, math.inf))
-    assert "double('inf')" in text
-    assert spark.sql("SELECT 1e300D < double('inf')").first()[0]
+def test_unknown_thresholds_flag_nobody_in_sql(spark, features):
+    features.createOrReplaceTempView("unlimited_rows")
+    threshold_table(features.limit(0)).createOrReplaceTempView("no_limits")
+    arguments = sql_functions.model_arguments("no_limits").split(", CASE ")
+    flags = ["CASE " + part.split(", ")[0] for part in arguments if "_p80" in part]
+    assert len(flags) == 2
+    assert spark.sql(f"SELECT coalesce((SELECT max(total_spent_p80) FROM no_limits), double('inf')) > 1e300D").first()[0]
+    text = sql_functions.prediction_query("unlimited_rows", "no_limits")
+    sql_functions.deploy_functions(spark, "default", scoring.ChurnModel("LogisticRegression", THRESHOLDS, LINEAR))
+    expected = scoring.score_features(features, scoring.ChurnModel("x", Thresholds(math.inf, math.inf), LINEAR))
+    assert sorted(spark.sql(text).select("user_id", "churn_probability").collect()) == sorted(
+        expected.select("user_id", "churn_probability").collect()
+    )
+
+
+def test_names_always_call_the_model_deployed_last(spark, features, forest):
+    features.createOrReplaceTempView("deployed_rows")
+    threshold_table(features).createOrReplaceTempView("deployed_limits")
+    limits = fit_thresholds(features)
+    linear = scoring.ChurnModel("LogisticRegression", limits, LINEAR)
+    trees = scoring.ChurnModel("RandomForest", limits, pipeline=forest)
+    arguments = sql_functions.model_arguments("deployed_limits")
+    for model in (linear, trees, linear, trees):
+        sql_functions.deploy_functions(spark, "default", model)
+        called = spark.sql(
+            f"SELECT user_id, predict_churn_probability({arguments}) p, predict_churn_binary({arguments}) b, "
+            f"predict_churn({arguments}) c FROM deployed_rows ORDER BY user_id"
+        ).collect()
+        expected = scoring.score_features(features, model).orderBy("user_id").collect()
+        assert [r.p for r in called] == pytest.approx([r.churn_probability for r in expected], abs=1e-12)
+        assert [(r.b, r.c) for r in called] == [(r.churn_prediction,) * 2 for r in expected]
+        assert spark.catalog.functionExists("default.predict_churn") == (model is linear)
+    with pytest.raises(ValueError, match="no SQL functions"):
+        sql_functions.deploy_functions(spark, "default", scoring.ChurnModel("GradientBoostedTrees", limits, pipeline=forest))
+    assert spark.catalog.functionExists("predict_churn")
+
+
+def test_two_runs_never_publish_one_version(spark):
+    root = new_path(spark, "models")
+    first, second = ModelStore(spark, root), ModelStore(spark, root)
+    taken = [first._new_version(), second._new_version()]  # both saw an empty registry
+    assert taken == [1, 2]
+    assert first.publish(scoring.ChurnModel("LogisticRegression", THRESHOLDS, LINEAR)) == 3
 
 
 def test_forest_functions_equal_the_pipeline(spark, features, forest):
