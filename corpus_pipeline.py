@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.llm import decontaminate, linededup, packing, quality, simhash
-from patronlens.shared import delete, write_table
+from patronlens.shared import delete, deleted_afterwards, new_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = write_table(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with deleted_afterwards(spark):  # what the stage wrote on its way
+            stage(spark, docs, sf_dir).write.parquet(path)
         if before:
             delete(spark, before)
         docs, before = spark.read.parquet(path), path
