@@ -70,6 +70,7 @@ NOTICES = {
 
 COPYRIGHT = r"^[^\p{L}\p{N}]*(?:copyright|copr|\(c\)|©|all rights reserved)(?:[^\p{L}].*)?$"
 RESULT = ("digest", "licenses", "license_lines")
+BROADCAST_DIGESTS = 100_000  # known digests up to this number (some 100 bytes each) go to every task; more are joined by shuffle
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -105,8 +106,13 @@ def known_digests(known: DataFrame) -> DataFrame:
     )
 
 
-def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """``docs`` with digest (of the whole text), licenses (ids, sorted), license_lines (different lines that are a known text)."""
+def scan_licenses(docs: DataFrame, known: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` of ``docs`` (all if not given) with digest (of the whole text), licenses (ids, sorted) and
+    license_lines (different lines that are a known text). Texts are shuffled only if they are carried."""
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in RESULT]
+    digests = known_digests(known)
+    if digests.count() <= BROADCAST_DIGESTS:
+        digests = F.broadcast(digests)
     document = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("document")
     parts = docs.select(document, canonical_lines(F.col("text")).alias("lines")).where(F.size("lines") > 0)
     whole = F.struct(F.lit(0).alias("line"), digest(F.col("lines")).alias("digest"))
@@ -114,20 +120,22 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     found = (
         parts.select("document", F.explode(F.concat(F.array(whole), each)).alias("part"))
         .select("document", "part.line", "part.digest")
-        .join(known_digests(known), "digest")
+        .join(digests, "digest")
         .groupBy("document", "digest")
         .agg(F.first("ids").alias("ids"), F.max("line").alias("line"))
         .groupBy("document")
         .agg(F.collect_set("ids").alias("ids"), F.sum("line").alias("license_lines"))
     )
-    rows = docs.select(F.struct("*").alias("row"), document)
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), document, digest(canonical_lines(F.col("text"))).alias("digest")
+    )
     matches = (rows["document.doc_id"].eqNullSafe(found["document.doc_id"])) & (
         rows["document.text"] == found["document.text"]
     )
     licenses = F.array_sort(F.array_distinct(F.flatten("ids")))
     return rows.join(found, matches, "left").select(
-        *(F.col(f"row.`{c}`") for c in docs.columns if c not in RESULT),
-        digest(canonical_lines(F.col("row.text"))).alias("digest"),
+        *(F.col(f"row.`{c}`") for c in carry),
+        "digest",
         F.coalesce(licenses, F.array().cast("array<string>")).alias("licenses"),
         F.coalesce("license_lines", F.lit(0)).cast("long").alias("license_lines"),
     )

@@ -34,7 +34,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return licenses.scan_licenses(docs, licenses.notices(spark)).select(
+    return licenses.scan_licenses(docs, licenses.notices(spark), carry=["doc_id"]).select(
         "doc_id", "digest", F.array_join("licenses", ",").alias("licenses"), "license_lines"
     )
 
