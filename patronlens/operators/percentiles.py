@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,15 +45,15 @@ def percentiles_by_rank(df: DataFrame, columns: list[str], probabilities: list[f
     around = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)})
     # A few numbers per column come to the driver and go back as constants.
     edges = df.agg(*[F.percentile_approx(_value(name), around, SKETCH_ACCURACY).alias(name) for name in columns]).first()
-    values = reduce(
-        DataFrame.union,
-        [
-            df.select(F.lit(i).alias("column"), _value(name).alias("value"))
-            .where(F.col("value").isNotNull())
-            .withColumn("slice", _slice(F.col("value"), sorted(edges[name] or [])))
-            for i, name in enumerate(columns)
-        ],
-    )
+    cells = [
+        F.struct(
+            F.lit(i).alias("column"),
+            _value(name).alias("value"),
+            _slice(_value(name), sorted(edges[name] or [])).alias("slice"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    values = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())  # one scan for all columns
 
     def ranks(size: Column) -> list[Column]:
         position = [(size - 1).cast("double") * p for p in probabilities]

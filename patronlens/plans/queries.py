@@ -469,7 +469,9 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prediction_summary": lambda s, d: _rounded(
         scoring.prediction_summary(_predictions(s, d)), ["avg_churn_probability"]
     ),
-    "high_risk_customers": lambda s, d: reports.high_risk_customers(_profiles(s, d), _predictions(s, d)),
+    "high_risk_customers": lambda s, d: reports.high_risk_customers(
+        _profiles(s, d), written(_predictions(s, d), "predictions")
+    ),
     "segment_risk_report": segment_risk_report,
     "confusion_matrix": lambda s, d: metrics.confusion_matrix(_evaluated(s, d)),
     "classification_report": lambda s, d: _rounded(
