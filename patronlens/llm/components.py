@@ -8,6 +8,7 @@ driver sees two numbers a round.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +51,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
         after = write_table(_star(_star(table, large=True), large=False), "edges")
         delete(spark, path)
         path = after
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """Those of the links (a, b) that join what the links before do not."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    left, right = [], []
+    for x, y in zip(a.tolist(), b.tolist()):
+        one, other = root(x), root(y)
+        if one != other:
+            parent[max(one, other)] = min(one, other)
+            left.append(x)
+            right.append(y)
+    return left, right

@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.llm.components import connected_components
-from patronlens.llm.simhash import _forest
+from patronlens.llm.components import connected_components, forest
 from patronlens.shared import written
 
 THRESHOLD = 0.93
@@ -157,7 +156,7 @@ def cell_links(
     a, b = a[exact], b[exact]
     np.add.at(links, a, rows["copies"][b])
     np.add.at(links, b, rows["copies"][a])
-    left, right = _forest(rows["node"][a], rows["node"][b])
+    left, right = forest(rows["node"][a], rows["node"][b])
     return links, left, right
 
 

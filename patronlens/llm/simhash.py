@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens.llm.bytewords import LOWER, byte_class, per_text, slices_by_bytes, spans_of, text_bytes
-from patronlens.llm.components import connected_components
+from patronlens.llm.components import connected_components, forest
 from patronlens.shared import written
 
 SHINGLE = 3
@@ -157,25 +157,6 @@ def anchors_of(prints: np.ndarray, code: list[Part], distance: int = DISTANCE) -
     yield from further(home, np.arange(len(prints)), len(code), distance)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """Those of the links (a, b) that join what the links before do not."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[up] if up in parent else up
-        return x
-
-    left, right = [], []
-    for x, y in zip(a.tolist(), b.tolist()):
-        one, other = root(x), root(y)
-        if one != other:
-            parent[max(one, other)] = min(one, other)
-            left.append(x)
-            right.append(y)
-    return left, right
-
-
 class Compare:
     """Reads copies sorted by anchor and gives links (a, b) and the members of crowds (a, null)."""
 
@@ -211,7 +192,7 @@ class Compare:
                 right += [None] * len(left)
                 wanted = (sizes > 1) & (sizes <= self.crowd) & np.logical_or.reduceat(home[:whole], heads)
                 a, b = self._pairs(prints, home, heads[wanted], sizes[wanted])
-                a, b = _forest(a, b)
+                a, b = forest(a, b)
                 left += a
                 right += b
         right += [None] * (len(left) - len(right))
