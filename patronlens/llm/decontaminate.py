@@ -33,7 +33,7 @@ from patronlens.shared import written
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 # The bytes of a word after lower-casing; every byte of a character beyond ASCII is above 0x7F.
 WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 RESULT = ("n_words", "n_hit", "n_items", "item_ids", "longest_match", "spans")
