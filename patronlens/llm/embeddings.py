@@ -1,8 +1,10 @@
 """Embedding near-duplicates with an inverted-list index and product quantisation.
 
 Vectors are scaled to length 1. A k-means of a bounded sample gives the coarse lists; what a vector differs from the centre of its list
-is cut into ``PARTS`` subspaces, and each part is replaced by the nearest of up to ``CODES`` centres of that subspace. A vector sits in the
-list of its nearest centre and visits the ``PROBES`` next ones. In every list, visitors and members are compared with the members: a
+is cut into ``PARTS`` subspaces, and each part is replaced by the nearest of up to ``CODES`` centres of that subspace. Centres within
+the threshold of each other, directly or over others, are one list: a dense group is cut into many centres but stays one list, as lists
+that hold parts of a group in which all pairs are links have centres within the threshold, too. A vector sits in the list of its nearest
+centre and visits the ``PROBES`` next lists. In every list, visitors and members are compared with the members: a
 table of the products of a vector's parts with all code centres gives its approximate cosine with any member by ``PARTS`` look-ups.
 Candidates are then compared by the exact cosine in double precision, so no pair below the threshold is linked.
 
@@ -11,8 +13,8 @@ approximate cosine with any vector within the threshold t from below by t p - sq
 be lost only between vectors of which neither visits the other's list; tests measure that against brute force.
 
 A pair is compared in one list only: with each other at home, or where one visits the other; if both visit, in the lower list. Equal
-vectors are compared once, as a class with a number of copies. Lists of one label are cut into blocks of about ``BLOCK`` vectors, and
-a task gets two blocks: it gives each vector's number of links and a forest of links, never all pairs.
+vectors are compared once, as a class with a number of copies. Lists of one label, of any size, are cut into blocks of about ``BLOCK``
+vectors, and a task gets two blocks: it gives each vector's number of links and a forest of links, never all pairs.
 
 Only vectors of equal, non-null labels and equal dimension are compared. Defined cases: a vector that is null, empty or zero, or holds a
 null or a number that is not finite, has no links and is its own component, as is one without a label; repeated rows and ids are further
@@ -71,14 +73,36 @@ def k_means(points: np.ndarray, count: int, random: np.random.Generator) -> np.n
     return centres
 
 
+def merged(centres: np.ndarray, threshold: float) -> np.ndarray:
+    """The list of each centre: centres whose cosine is at least the threshold, directly or over others, share one."""
+    directions = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-300)
+    lists = np.full(len(centres), -1, dtype=np.int64)
+    for start in range(len(centres)):
+        if lists[start] >= 0:
+            continue
+        number, waiting = lists.max() + 1, [start]
+        lists[start] = number
+        while waiting:
+            close = np.flatnonzero((lists < 0) & (directions @ directions[waiting.pop()] >= threshold - 1e-9))
+            lists[close] = number
+            waiting.extend(close.tolist())
+    return lists
+
+
 @dataclass(frozen=True)
 class Index:
-    """``centres`` of the lists; ``codes``: by subspace, its code centres; ``borders`` cut a vector into subspaces."""
+    """``centres`` and their ``lists``; ``codes``: by subspace, its code centres; ``borders`` cut a vector into subspaces."""
 
     centres: np.ndarray
     codes: list[np.ndarray]
     borders: list[int]
     threshold: float
+    lists: np.ndarray
+
+    @property
+    def width(self) -> int:
+        """How many lists a vector is in: its own and those it visits."""
+        return min(PROBES + 1, int(self.lists.max()) + 1)
 
     @staticmethod
     def fit(vectors: np.ndarray, lists: int, threshold: float, seed: int = 5) -> Index:
@@ -91,15 +115,29 @@ class Index:
         codes = [
             k_means(rest[:, a:b], min(CODES, len(rest)), random) for a, b in zip(borders[:-1], borders[1:])
         ]
-        return Index(centres, codes, borders, threshold)
+        return Index(centres, codes, borders, threshold, merged(centres, threshold))
 
     def _subspaces(self) -> zip:
         return zip(self.codes, self.borders[:-1], self.borders[1:])
 
+    def _lists(self, vectors: np.ndarray) -> np.ndarray:
+        """The nearest centre, and behind it the lists that are nearest by any of their centres, but for its own."""
+        order = np.argsort(self.lists, kind="stable")
+        starts = np.flatnonzero(np.diff(self.lists[order], prepend=-1))
+        squares, found = (self.centres**2).sum(axis=1), []
+        for at in range(0, len(vectors), 4096):
+            distance = squares - 2 * vectors[at : at + 4096] @ self.centres.T
+            home = distance.argmin(axis=1)
+            away = np.minimum.reduceat(distance[:, order], starts, axis=1)
+            away[np.arange(len(home)), self.lists[home]] = np.inf
+            visits = np.argpartition(away, self.width - 2, axis=1)[:, : self.width - 1] if self.width > 1 else away[:, :0]
+            found.append(np.concatenate([home[:, None], visits], axis=1).astype(np.int64))
+        return np.concatenate(found)
+
     def encode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lists (home first, then those to visit), codes, and the least approximate cosine of a linked vector."""
+        """The home centre and then the lists to visit, codes, and the least approximate cosine of a linked vector."""
         vectors = unit(vectors.astype(np.float64))
-        lists = nearest(vectors, self.centres, min(PROBES + 1, len(self.centres)))
+        lists = self._lists(vectors)
         centres = self.centres[lists[:, 0]]
         rest = vectors - centres
         codes = np.stack([nearest(rest[:, a:b], own)[:, 0] for own, a, b in self._subspaces()], axis=1)
@@ -125,13 +163,13 @@ def cell_links(
     ``rows`` are the rows of two blocks, or of one if they are equal; pairs inside a block belong to its cell with itself.
     """
     vectors = unit(rows["vector"])
-    member = rows["lists"][:, 0] == at
+    home, lists = rows["lists"][:, 0], index.lists[rows["lists"][:, 0]]
+    member = lists == at
     links = np.zeros(len(vectors), dtype=np.int64)
     ones, others = [], []
     members = np.flatnonzero(member)
     if not len(members) or len(vectors) < 2:
         return links, [], []
-    home = rows["lists"][:, 0]
     for first in range(0, len(vectors), 512):
         here = np.arange(first, min(first + 512, len(vectors)))
         close = index.approximate(vectors[here], home[members], rows["codes"][members]) >= rows["bound"][members]
@@ -139,9 +177,9 @@ def cell_links(
         a, b = here[a], members[b]
         both = member[a]
         keep = np.where(both, a < b, True)
-        # a visitor whose home b visits in turn is compared there, if that is the lower list
+        # a visitor whose list b visits in turn is compared there, if that is the lower list
         away = np.flatnonzero(~both)
-        keep[away] = ~((home[a[away]] < at) & (rows["lists"][b[away]] == home[a[away]][:, None]).any(axis=1))
+        keep[away] = ~((lists[a[away]] < at) & (rows["lists"][b[away], 1:] == lists[a[away]][:, None]).any(axis=1))
         if blocks[0] != blocks[1]:
             keep &= rows["block"][a] != rows["block"][b]
         ones.append(a[keep])
@@ -171,11 +209,11 @@ def _links_of(classes: DataFrame, size: int, threshold: float, block: int) -> Da
     spark = classes.sparkSession
     own = classes.where(F.size("embedding") == size)
     count = own.count()
-    lists = int(min(MOST_LISTS, 2 ** round(np.log2(max(1.0, count**0.5)))))
+    centres = int(min(MOST_LISTS, 2 ** round(np.log2(max(1.0, count**0.5)))))
     sample = own.orderBy(F.xxhash64("embedding"), "node").limit(SAMPLE).select("embedding").toArrow()
-    fitted = Index.fit(_matrix(sample.column(0), size, np.float64), lists, threshold)
-    shared = spark.sparkContext.broadcast((fitted.centres, fitted.codes, fitted.borders, fitted.threshold))
-    width, parts = min(PROBES + 1, len(fitted.centres)), len(fitted.codes)
+    fitted = Index.fit(_matrix(sample.column(0), size, np.float64), centres, threshold)
+    shared = spark.sparkContext.broadcast((fitted.centres, fitted.codes, fitted.borders, fitted.threshold, fitted.lists))
+    width, parts = fitted.width, len(fitted.codes)
 
     def encode(batches):
         index = Index(*shared.value)
@@ -188,17 +226,19 @@ def _links_of(classes: DataFrame, size: int, threshold: float, block: int) -> Da
                         pa.array(list(found[0].astype(np.int32)), pa.list_(pa.int32())),
                         pa.array(list(found[1].astype(np.int32)), pa.list_(pa.int32())),
                         pa.array(found[2]),
+                        pa.array(index.lists[found[0][:, 0]].astype(np.int32)),
                     ],
-                    names=["node", "label", "embedding", "copies", "lists", "codes", "bound"],
+                    names=["node", "label", "embedding", "copies", "lists", "codes", "bound", "own"],
                 )
 
     label = classes.schema["label"].dataType.simpleString()
     kind = classes.schema["embedding"].dataType.simpleString()
     encoded = own.select("node", "label", "embedding", "copies").mapInArrow(
         encode,
-        f"node long, label {label}, embedding {kind}, copies long, lists array<int>, codes array<int>, bound double",
+        f"node long, label {label}, embedding {kind}, copies long, lists array<int>, codes array<int>, bound double, own int",
     )
-    visits = encoded.select("*", F.explode("lists").alias("list"))
+    visited = F.concat(F.array("own"), F.slice("lists", 2, width))
+    visits = encoded.select("*", F.explode(visited).alias("list"))
     sizes = visits.groupBy("label", "list").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = (
         visits.join(sizes, ["label", "list"])

@@ -88,3 +88,28 @@ def test_many_copies_are_one_class(spark):
     rows = [(i, [1.0, 2.0, 3.0], 1) for i in range(500)] + [(1000, [1.0, 2.0, 3.1], 1), (1001, [9.0, 0.0, 0.0], 1)]
     got = found(spark, rows)
     assert got[7] == (500, 0) and got[1000] == (500, 0) and got[1001] == (0, 1001)
+
+
+def crowd(seed, count, size=64):
+    """A third of the rows near copies of each other, all pairs linked; random vectors behind them."""
+    draw = np.random.default_rng(seed)
+    near = embeddings.unit(draw.normal(size=(1, size))) + draw.normal(size=(count // 3, size)) * 0.17 / size**0.5
+    return np.concatenate([near, draw.normal(size=(count - len(near), size))])
+
+
+def test_a_dense_group_of_many_centres_keeps_its_links(spark):
+    rows = [(i, [float(x) for x in np.float32(v)], 0) for i, v in enumerate(crowd(4, 6000))]
+    got = found(spark, rows)
+    assert all(got[i] == (1999, 0) for i in range(2000)) and all(got[i] == (0, i) for i in range(2000, 6000))
+
+
+def test_recall_of_a_dense_group_at_fifty_thousand_rows():
+    rows = crowd(5, 51_000)
+    index = embeddings.Index.fit(rows, 256, 0.93)
+    places = index.encode(rows[:17_000])[0]
+    own, visits = index.lists[places[:, 0]], places[:, 1:]
+    draw = np.random.default_rng(6)
+    a, b = draw.integers(0, 17_000, size=(2, 200_000))
+    unit = embeddings.unit(rows[:17_000])
+    assert ((unit[a] * unit[b]).sum(axis=1) >= 0.93).all() and len(set(places[:, 0])) > 50
+    assert ((own[a] == own[b]) | (visits[a] == own[b][:, None]).any(axis=1) | (visits[b] == own[a][:, None]).any(axis=1)).all()
