@@ -5,7 +5,7 @@ and words with several spellings take one. Both a whole document and each of its
 is joined with the digests of the known licences. A notice that fills a line of a larger document is thus found too, but never part of
 a line.
 
-Known licences are a table (license_id, text) of any size; ``notices`` has common ones. Only digests are shuffled and joined.
+Known licences are a table (license_id, text) of any size; ``notices`` has common notices and whole licences. Only digests are shuffled and joined.
 
 Defined cases: null and empty texts, and texts without a letter or digit, have no digest and no licence; several ids for one digest are
 all given; repeated rows are each given their licences; a known text of null is ignored; further columns pass through (those named
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronlens.llm.known_licenses import known_texts
+
 # Spellings that count as one, as whole words of the canonical form.
 SPELLINGS = (
     ("licence", "license"),
@@ -30,43 +32,8 @@ SPELLINGS = (
     ("https", "http"),
 )
 
-# Public notices by which texts name their licence.
-NOTICES = {
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Released under the Apache License, Version 2.0.",
-        "This work is licensed under the Apache License, version 2.0.",
-    ),
-    "MIT": (
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "This work is licensed under the MIT License.",
-    ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "Licensed under the GNU General Public License, version 3.",
-        "Released under the GNU General Public License, version 3.",
-    ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", "Released under the BSD 3-Clause License."),
-    "MPL-2.0": ("Licensed under the Mozilla Public License, version 2.0.",),
-    "CC0-1.0": ("Licensed under CC0 1.0.", "Released under CC0 1.0."),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "Released under CC BY 4.0."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "Released under CC BY-SA 4.0."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "Released under CC BY-NC 4.0."),
-    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "Released under CC BY-ND 4.0."),
-    # whole licences
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies.\n\n"
-        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
-        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
-        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
-        "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
-        "THIS SOFTWARE.",
-    ),
-}
+# Public notices by which texts name their licence, and whole licences.
+NOTICES = known_texts()
 
 COPYRIGHT = r"^[^\p{L}\p{N}]*(?:copyright|copr|\(c\)|©|all rights reserved)(?:[^\p{L}].*)?$"
 RESULT = ("digest", "licenses", "license_lines")

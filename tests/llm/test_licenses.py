@@ -1,6 +1,6 @@
 import re
 
-from patronlens.llm import licenses
+from patronlens.llm import known_licenses, licenses
 from tests.llm.samples import AWKWARD, documents
 
 ISC = licenses.NOTICES["ISC"][0]
@@ -47,3 +47,37 @@ def test_awkward_rows(spark):
 def test_no_python_in_the_plan(spark, capsys):
     licenses.scan_licenses(documents(spark, [(1, "a")]), licenses.notices(spark)).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_every_lead_in_and_version(spark):
+    names = {
+        "the Mozilla Public License, version 2.0": "MPL-2.0",
+        "the GNU General Public License, version 2": "GPL-2.0",
+        "the GNU General Public License, version 3": "GPL-3.0",
+        "the GNU Lesser General Public License, version 2.1": "LGPL-2.1",
+        "the GNU Lesser General Public License, version 3": "LGPL-3.0",
+        "the Apache License, Version 2.0": "Apache-2.0",
+        "the MIT License": "MIT",
+        "the BSD 3-Clause License": "BSD-3-Clause",
+        "the BSD 2-Clause License": "BSD-2-Clause",
+        "CC0 1.0": "CC0-1.0",
+        **{f"CC {parts} 4.0": f"CC-{parts}-4.0" for parts in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
+    }
+    cases = [(f"{lead} {name}.", found) for lead in ("Licensed under", "Released under", "This work is licensed under") for name, found in names.items()]
+    got = found_in(spark, [(i, f"Prose.\n{text}\nMore.") for i, (text, _) in enumerate(cases)])
+    assert got == {i: ([name], 1) for i, (_, name) in enumerate(cases)}
+
+
+def test_whole_common_licences(spark):
+    texts = known_licenses.whole_texts()
+    assert set(texts) >= {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "Unlicense", "CC0-1.0"}
+    names = sorted(texts)
+    rows = [(i, texts[name]) for i, name in enumerate(names)]
+    rows += [(100 + i, "Copyright (c) 2021 Someone\n\n" + texts[name].upper()) for i, name in enumerate(names)]
+    rows += [(200 + i, known_licenses.paragraphs(texts[name])) for i, name in enumerate(names)]
+    rows += [(300 + i, texts[name] + "\nAnd one sentence more.") for i, name in enumerate(names)]
+    rows += [(400, "MIT License\n\nCopyright (c) 2021 Someone\n\n" + texts["MIT"]), (401, texts["Apache-2.0"].split("   APPENDIX")[0])]
+    got = found_in(spark, rows)
+    for i, name in enumerate(names):
+        assert got[i] == got[100 + i] == got[200 + i] == ([name], 0) and got[300 + i][0] == []
+    assert got[400] == (["MIT"], 0) and got[401] == (["Apache-2.0"], 0)
