@@ -289,16 +289,30 @@ def auc_small_scores(spark: SparkSession, folder: str) -> DataFrame:
 # queries return what follows from the tables next to whether the fitted results keep their promises.
 
 
+def _input_files(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of every file of the tables that training reads."""
+    found = []
+    for name in ("customer", "orders"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
+
+
 @lru_cache(maxsize=2)
-def _trained_once(spark: SparkSession, folder: str) -> tuple[DataFrame, TrainingResult]:
+def _trained_once(
+    spark: SparkSession, folder: str, files: tuple[tuple[str, int, int], ...]
+) -> tuple[DataFrame, TrainingResult]:
     stored = _stored_features(spark, folder)
     return stored, train_churn_model(stored)
 
 
 def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, TrainingResult]:
-    """The feature table and what was trained on it; once per session and folder."""
+    """The feature table and what was trained on it; once per session, folder and state of its files."""
     with kept_afterwards():
-        return _trained_once(spark, folder)
+        return _trained_once(spark, folder, _input_files(spark, folder))
 
 
 def _rank_auc(scored: DataFrame) -> float:
