@@ -7,7 +7,8 @@ from turns scores into probabilities.
 
 Only text and language of documents outside the held-out fold are learned from. Document frequencies cover all of them. The weights are
 fitted to a bounded sample: about ``SAMPLE`` documents in all, as many of each language as there are, chosen by a hash of the id, of each
-a stretch of ``STRETCH`` characters and a shorter crop of it. At most ``LANGUAGES`` languages are learned, the most frequent.
+a stretch of ``STRETCH`` characters and a shorter crop of it. Every language that occurs is learned; more than ``LANGUAGES``, which the
+driver's weights have no room for, fail.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0; so is every text if no document has a language. Repeated
 rows get equal results. Further columns pass through, those named like a result are replaced. An empty table gives an empty table.
@@ -171,14 +172,16 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
 
 def train(docs: DataFrame, seed: int = 11) -> Model:
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not frequent:
+    counted = rows.groupBy("lang").count().orderBy("lang").limit(LANGUAGES + 1).collect()
+    if len(counted) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: all have to be learned, none is dropped")
+    if not counted:
         return Model([], np.zeros((BUCKETS + 1, 0), dtype=np.float32), 1.0)
     texts, counts = document_frequencies(rows)
     idf = np.log((1 + texts) / (1 + counts)) + 1
-    share = SAMPLE / len(frequent)
+    share = SAMPLE / len(counted)
     order = draw(F.col("doc_id"), F.col("text"), seed=seed)
-    rate = F.create_map(*(F.lit(x) for row in frequent for x in (row["lang"], min(1.0, share / row["count"]))))
+    rate = F.create_map(*(F.lit(x) for row in counted for x in (row["lang"], min(1.0, share / row["count"]))))
     sample = (
         rows.select("lang", "doc_id", order.alias("order"), stretch(F.col("text"), STRETCH, draw(F.col("doc_id"), seed=seed + 1)).alias("text"))
         .where(F.col("order") < F.try_element_at(rate, F.col("lang")))
@@ -186,7 +189,7 @@ def train(docs: DataFrame, seed: int = 11) -> Model:
         .limit(2 * SAMPLE)
         .collect()
     )
-    languages = sorted(row["lang"] for row in frequent)
+    languages = sorted(row["lang"] for row in counted)
     random, examples = np.random.default_rng(seed), []
     for row in sample:
         label, calibrates = languages.index(row["lang"]), bool(random.random() < 0.2)

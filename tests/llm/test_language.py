@@ -82,3 +82,15 @@ def test_temperature_lowers_the_loss_of_overconfident_scores():
     texts = [(f" {'ab' if i % 2 else 'cd'} ", (i % 2) ^ (i % 7 == 0), i % 3 == 0) for i in range(300)]
     _, temperature = language.fit(texts, 2, np.ones(language.BUCKETS))
     assert temperature > 0
+
+
+def test_no_language_is_dropped(spark, monkeypatch):
+    rows = [(i, f"{'abcdef'[i % 3] * 20} words", f"l{i % 3}") for i in range(60)]
+    df = documents(spark, [row[:2] for row in rows]).select("doc_id", "text").join(
+        spark.createDataFrame([(i, lang) for i, _, lang in rows], "doc_id long, lang string"), "doc_id"
+    )
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    assert language.train(df).languages == ["l0", "l1", "l2"]
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language.train(df)
