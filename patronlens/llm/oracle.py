@@ -157,6 +157,50 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_PART = "(x[p * len(x) // 4 + 1:(p + 1) * len(x) // 4])::DOUBLE[]"
+
+
+def _round(i: int, codebook: str) -> str:
+    """Codes of all parts by one codebook; the least of (distance, index) as one number."""
+    return f"""a{i} AS MATERIALIZED (
+  SELECT r, p, (least % 256)::BIGINT AS e, (least // 256)::BIGINT AS d FROM (
+    SELECT r, p, min((list_dot_product(a.v, a.v) - 2 * list_dot_product(a.v, c.v) + list_dot_product(c.v, c.v))::HUGEINT * 256 + e) AS least
+    FROM parts a JOIN {codebook} c USING (p) GROUP BY r, p)
+)"""
+
+
+def _codebook(i: int) -> str:
+    return f"""c{i} AS MATERIALIZED (
+  SELECT p, c.e, coalesce(m.v, c.v) AS v FROM c{i - 1} c LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY i) AS v FROM (
+      SELECT p, e, i, floor(sum(entry) / count(*)) AS mean
+      FROM (SELECT p, e, generate_subscripts(v, 1) AS i, unnest(v) AS entry FROM parts JOIN a{i - 1} USING (r, p)) GROUP BY p, e, i)
+    GROUP BY p, e) m USING (p, e)
+)"""
+
+
+_ROUNDS = ",\n".join(step for i in range(1, 5) for step in (_round(i - 1, f"c{i - 1}"), _codebook(i)))
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    list_transform(embedding, lambda c: floor(c::DOUBLE * 1024)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, {_PART} AS v FROM kept, (SELECT unnest([0, 1, 2, 3]) AS p)
+), c0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, v FROM parts WHERE r <= 256
+), {_ROUNDS},
+{_round(4, "c4")}, coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(entry::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, generate_subscripts(v, 1) AS i, unnest(v) AS entry FROM c4)
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
 ORACLE = {
     "op1_license_scan": OP1,
     "op3_decontamination": OP3,
@@ -164,4 +208,5 @@ ORACLE = {
     "op8_line_dedup": OP8,
     "op9_embedding_dedup": OP9,
     "op10_secret_scan": OP10,
+    "op13_vector_codes": OP13,
 }

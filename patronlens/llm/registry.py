@@ -24,6 +24,8 @@ from patronlens.llm import (
     quality,
     secrets,
     simhash,
+    vector_codes,
+    whitening,
 )
 from patronlens.shared import new_path
 
@@ -136,6 +138,26 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, folder, "embeddings"))
+    each = found.select("*", F.posexplode("whitened").alias("at", "value"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        F.col("deviation").cast("long").alias("deviation"),
+        F.col("value").alias("whitened"),
+        F.get("explained", "at").alias("explained"),
+        "identity_error",
+    )
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.compress_vectors(_table(spark, folder, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return found.select("vec_id", code.alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_compression_quality": op2_compression_quality,
@@ -147,4 +169,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -1,0 +1,108 @@
+import numpy as np
+import pytest
+
+from patronlens.llm import whitening
+
+
+def symmetric(seed, values):
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values), len(values))))[0]
+    return q @ np.diag(values) @ q.T
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3.0, 1.0],
+        list(range(1, 41)),
+        [10.0**-i for i in range(12)],
+        [5.0] * 10 + [1.0] * 10,
+        [1e6, 1e6 - 1e-3, 1.0, 1.0, 1e-9, 0.0, 0.0],
+        [0.0] * 4,
+        [7.0],
+        list(np.random.default_rng(1).gamma(0.3, size=96)),
+    ],
+)
+def test_spectrum_of_known_matrices(values):
+    a = symmetric(len(values), values)
+    a = (a + a.T) / 2
+    found, vectors = whitening.spectrum(a)
+    size, noise = len(values), 1e-13 * max(map(abs, values)) + 1e-300
+    assert (np.diff(found) <= 0).all() and np.abs(found - sorted(values, reverse=True)).max() <= noise
+    assert np.abs(vectors.T @ vectors - np.eye(size)).max() < 1e-13
+    assert np.abs(a @ vectors - vectors * found).max() <= noise
+
+
+def test_diagonal_and_shift_on_an_eigenvalue():
+    for a in (np.diag([4.0, 2.0, 1.0]), np.diag([1.0, 1.0, 2.0]), np.diag([1.0, 2.0, 3.0, 4.0, 5.0]), np.array([[0.0, 1.0], [1.0, 0.0]])):
+        found, vectors = whitening.spectrum(a)
+        assert np.allclose(found, sorted(np.linalg.eigvalsh(a), reverse=True), atol=1e-14)
+        assert np.allclose(a @ vectors, vectors * found, atol=1e-14)
+
+
+def test_polar_factor_is_the_sign():
+    a = symmetric(3, [4.0, 1e-9, -1e-12, -2.0])
+    sign = whitening.polar_factor((a + a.T) / 2)
+    assert np.abs(sign @ sign - np.eye(4)).max() < 1e-13 and round(np.trace(sign)) == 0
+    assert whitening.polar_factor(np.diag([1.0, 0.0])) is None
+
+
+def vectors(seed, count, size):
+    draw = np.random.default_rng(seed)
+    return np.float32(draw.normal(size=(count, size)) @ (draw.normal(size=(size, size)) / size**0.5) + 0.3)
+
+
+def frame(spark, rows):
+    data = [(i, [float(v) for v in row]) for i, row in enumerate(rows)]
+    return spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(3)
+
+
+@pytest.mark.parametrize("size", [40, 5])
+def test_equal_to_a_plain_computation(spark, size):
+    rows = vectors(size, 400, size)
+    x = np.floor(rows.astype(np.float64) * 64).astype(np.int64) + 1_000_000
+    got = {r.vec_id: r for r in whitening.whiten(frame(spark, rows)).collect()}
+    n, sums = len(x), x.sum(axis=0)
+    centred = (n * x - sums) / n
+    values, components = np.linalg.eigh(centred.T @ centred / n)
+    values, components = values[::-1], components[:, ::-1]
+    width = min(size, 32)
+    white = np.array([got[i].whitened for i in range(n)])
+    want = (centred @ components / np.sqrt(values))[:, :width]
+    assert white.shape == (n, width)
+    assert np.abs(white - want * np.sign((white * want).sum(axis=0))).max() < 1e-8
+    assert np.abs(white.T @ white / n - np.eye(width)).max() < 1e-9
+    for i in range(n):
+        assert got[i].n == n and int(got[i].deviation) == sum(int(v) ** 2 for v in n * x[i] - sums)
+        assert got[i].explained == pytest.approx((values / values.sum())[:width], rel=1e-9)
+        assert 0 <= got[i].identity_error < 1e-9
+
+
+def test_squares_beyond_a_bigint_are_exact():
+    own = whitening.Whitening(10**9, np.array([10**15, 0]), np.eye(2), np.ones(2), np.ones(2))
+    assert int(own.deviation(np.array([[5, 4]]))[0]) == (5 * 10**9 - 10**15) ** 2 + (4 * 10**9) ** 2
+
+
+def test_components_without_variance(spark):
+    rows = vectors(9, 50, 6)
+    rows[:, 2] = 1.0
+    rows[:, 5] = rows[:, 4]
+    got = whitening.whiten(frame(spark, rows)).collect()
+    white = np.array([r.whitened for r in got])
+    assert (white[:, 4:] == 0).all() and np.abs(white[:, :4].T @ white[:, :4] / 50 - np.eye(4)).max() < 1e-9
+    assert got[0].explained[4:] == [0.0, 0.0] and got[0].identity_error < 1e-9
+
+
+def test_invalid_and_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 3.0]), (None, [2.0, 5.0]), (3, None), (4, [nan, 1.0]), (5, [1.0, None]),
+        (6, [inf, 0.0]), (7, []), (8, [1.0, 2.0, 3.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS n", "2 AS x", "'w' AS whitened")
+    got = sorted(whitening.whiten(df).collect(), key=lambda r: str(r.vec_id))
+    assert [r.vec_id for r in got] == [1, 1, 2, 8, None]
+    assert [r.n for r in got] == [4, 4, 4, 1, 4]
+    assert got[3].whitened == [0.0, 0.0, 0.0] and got[3].deviation == 0 and got[3].identity_error == 0
+    assert whitening.whiten(df.limit(0)).collect() == []
+    with pytest.raises(Exception, match="beyond"):
+        whitening.whiten(spark.createDataFrame([(1, [1e14])], "vec_id long, embedding array<double>")).collect()
