@@ -157,6 +157,32 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP12 = """
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), strings AS (
+  SELECT r, i, md5(array_slice(b, i, i + 199)) AS m
+  FROM (SELECT r, b, unnest(generate_series(1, n - 199)) AS i FROM docs WHERE n >= 200)
+), starts AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS times FROM strings) WHERE times > 1
+), heads AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS head FROM starts
+), spans AS (
+  SELECT r, number, min(i) AS first, max(i) + 200 AS next
+  FROM (SELECT r, i, sum(head) OVER (PARTITION BY r ORDER BY i) AS number FROM heads) GROUP BY r, number
+), gone AS (
+  SELECT r, count(*) AS n_spans, sum(next - first) AS n_removed, max(next) AS last_next FROM spans GROUP BY r
+), pieces AS (
+  SELECT r, first, hex(array_slice(b, coalesce(lag(next) OVER (PARTITION BY r ORDER BY first), 1), first - 1)) AS piece
+  FROM spans JOIN docs USING (r)
+), kept AS (
+  SELECT r, string_agg(piece, '' ORDER BY first) AS front FROM pieces GROUP BY r
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(front || hex(array_slice(b, last_next, n))) END) AS kept_sha256
+FROM docs LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
 _PART = "(x[p * len(x) // 4 + 1:(p + 1) * len(x) // 4])::DOUBLE[]"
 
 
@@ -208,5 +234,6 @@ ORACLE = {
     "op8_line_dedup": OP8,
     "op9_embedding_dedup": OP9,
     "op10_secret_scan": OP10,
+    "op12_suffix_dedup": OP12,
     "op13_vector_codes": OP13,
 }

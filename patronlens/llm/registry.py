@@ -24,6 +24,7 @@ from patronlens.llm import (
     quality,
     secrets,
     simhash,
+    suffix_dedup,
     vector_codes,
     whitening,
 )
@@ -152,6 +153,13 @@ def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, carry=["doc_id"]).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     found = vector_codes.compress_vectors(_table(spark, folder, "embeddings"))
     code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
@@ -170,5 +178,6 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_vector_codes": op13_vector_codes,
 }
