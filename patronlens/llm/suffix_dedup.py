@@ -6,12 +6,13 @@ another; matches do not cross documents, and all is judged on the texts as they
 Which strings can be equal is settled by content. Among the grams of ``GRAM`` bytes inside every string of ``LEAST`` bytes the one of the
 least hash is its anchor: equal strings have equal anchors. Consecutive starts with one anchor are a run, and a run with the
 ``LEAST`` - 1 bytes behind it is its context (some 280 bytes, a run per 77). Runs are counted by (anchor, digest of the context), copies combined before the
-shuffle, so one of many equal contexts is looked at, twice if there are several. Anchors that occur once repeat nothing and are dropped.
+shuffle, so one of many equal contexts is looked at, with its number. Anchors that occur once repeat nothing and are dropped.
 
 The contexts of an anchor go to one shard of about ``SHARD_BYTES``. A shard's suffixes are sorted by prefix doubling up to 256 bytes, which
 gives its Burrows-Wheeler transform. Breadth-first backward extension of intervals of the transform then sets common prefixes of neighbours by
 increasing value: the interval of every string w of length l gives those of all cw, and where one ends with no value yet, the value is l. It
-stops at l = ``LEAST``: what has no value then has a common prefix of at least that, and both neighbours are repeated.
+stops at l = ``LEAST``: what has no value then has a common prefix of at least that, and both neighbours are repeated. So is a row that
+stands for several equal contexts.
 
 An anchor with more than ``CROWD`` different contexts (a phrase that a large part of the corpus holds) would fill a shard. Its runs are cut into
 single strings of ``LEAST`` bytes, counted by two hashes of the whole string, combined before the shuffle; each is then an anchor with one context.
@@ -148,8 +149,8 @@ def sorted_suffixes(symbols: np.ndarray, left: np.ndarray, depth: int) -> np.nda
     return order
 
 
-def repeated_starts(texts: list[bytes], least: int = LEAST) -> list[np.ndarray]:
-    """Of each text, the starts of strings of ``least`` bytes that start anywhere else too."""
+def repeated_starts(texts: list[bytes], least: int = LEAST, copies: np.ndarray | None = None) -> list[np.ndarray]:
+    """Of each text, the starts of strings of ``least`` bytes that start anywhere else too; a text may stand for several ``copies``."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(sizes + 1) - 1  # the places of the separators
     symbols = np.frombuffer(b"\xff".join(texts) + b"\xff", dtype=np.uint8) + np.uint8(1)  # no byte of UTF-8 is 255: separators are 0
@@ -191,6 +192,8 @@ def repeated_starts(texts: list[bytes], least: int = LEAST) -> list[np.ndarray]:
     repeated = np.zeros(n, dtype=bool)
     repeated[suffixes[alike]] = True
     repeated[suffixes[alike - 1]] = True
+    if copies is not None:
+        repeated |= (left >= least) & np.repeat(copies > 1, sizes + 1)
     places = np.flatnonzero(repeated)
     begins = ends - sizes
     cuts = np.searchsorted(places, np.append(begins, n))
@@ -238,7 +241,7 @@ def _contexts(runs: DataFrame) -> DataFrame:
     kinds = runs.groupBy("anchor", "digest").agg(F.sum("copies").alias("copies"), F.min(place).alias("place"))
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total"))
     return kinds.join(anchors.where("total > 1").drop("total"), "anchor").select(
-        "anchor", "digest", F.least("copies", F.lit(2)).alias("copies"), "place.*", "kinds"
+        "anchor", "digest", "copies", "place.*", "kinds"
     )
 
 
@@ -288,9 +291,8 @@ def _expanded(contexts: DataFrame, shards: int) -> DataFrame:
 
     def expand(table: pa.Table) -> pa.Table:
         contexts = table.column("context").to_pylist()
-        several = np.flatnonzero(table.column("copies").to_numpy() > 1)
-        starts = repeated_starts([*contexts, *(contexts[i] for i in several)])
-        found = [stretches(own) for own in starts[: len(contexts)]]
+        starts = repeated_starts(contexts, copies=table.column("copies").to_numpy())
+        found = [stretches(own) for own in starts]
         of = pa.array(np.repeat(np.arange(len(contexts)), [len(a) for a, _ in found]))
         columns = [pa.array(np.concatenate([pair[k] for pair in found]).astype(np.int64)) for k in range(2)]
         return pa.table([table.column("anchor").take(of), table.column("digest").take(of), *columns], names=names)
@@ -303,7 +305,7 @@ def repeated_spans(texts: DataFrame, crowd: int = CROWD, shard_bytes: int = SHAR
     """(node, spans): of each of ``texts`` (node, copies, text) with repeated strings, the bytes inside one, not yet merged."""
     runs = written(_runs(texts), "runs")
     contexts = written(_contexts(runs), "contexts")
-    size = F.sum(F.col("copies") * (F.col("starts") + LEAST))
+    size = F.sum(F.col("starts") + LEAST)
     total, most = contexts.agg(size, F.max("kinds")).first()
     if most is not None and most > crowd:
         crowded = contexts.where(F.col("kinds") > crowd).select("anchor").distinct()
