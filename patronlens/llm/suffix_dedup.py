@@ -17,7 +17,7 @@ stands for several equal contexts.
 An anchor with more than ``CROWD`` different contexts (a phrase that a large part of the corpus holds) would fill a shard. Its runs are cut into
 single strings of ``LEAST`` bytes, counted by two hashes of the whole string, combined before the shuffle; each is then an anchor with one context.
 
-Every table between is written to the shared folder or can be computed again from one. A task holds a shard, or a few megabytes of text
+Every table between is written to the shared folder or can be computed again from one; shuffle files go as soon as their table is written. A task holds a shard, or a few megabytes of text
 or one longer text; the driver sees two numbers.
 
 Defined cases: null and empty texts have no bytes, and texts of fewer than ``LEAST`` bytes lose nothing; a text that is there twice loses all
@@ -30,10 +30,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.llm.bytewords import mixed, slices_by_bytes, span_hashes, text_bytes
@@ -210,6 +211,20 @@ def stretches(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- the tables ------------------------------------------------------------------------------------
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Inside the block, the shuffle files of a job are deleted when it ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
+
+
 RUNS = "node long, start long, starts long, anchor long, digest long, copies long"
 
 
@@ -353,13 +368,14 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, crowd: int =
     kept_sha256."""
     carry = [c for c in (docs.columns if carry is None else carry) if c not in RESULT]
     text = F.coalesce(F.col("text"), F.lit(""))
-    texts = written(
-        docs.groupBy(text.alias("text"))
-        .agg(F.count("*").alias("copies"))
-        .select(F.monotonically_increasing_id().alias("node"), "copies", "text"),
-        "texts",
-    )
-    spans = repeated_spans(texts.where(F.octet_length("text") >= LEAST), crowd, shard_bytes)
+    with shuffles_released(docs.sparkSession):
+        texts = written(
+            docs.groupBy(text.alias("text"))
+            .agg(F.count("*").alias("copies"))
+            .select(F.monotonically_increasing_id().alias("node"), "copies", "text"),
+            "texts",
+        )
+        spans = repeated_spans(texts.where(F.octet_length("text") >= LEAST), crowd, shard_bytes)
     marked = texts.join(spans, "node", "left").select(F.sha2("text", 256).alias("key"), "text", "spans")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), F.sha2(text, 256).alias("key"))
     return rows.join(_kept(marked), "key").select(*(F.col(f"row.`{c}`") for c in carry), *RESULT)
