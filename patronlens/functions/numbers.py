@@ -17,13 +17,21 @@ def zero_if_missing(column: str | Column) -> Column:
     return F.coalesce(column.cast("double"), F.lit(0.0))
 
 
+def share_parts(share: Column) -> tuple[Column, Column]:
+    """The first 24 and the next 29 bits of a value from 0 to 1, as whole numbers whose sums are exact in any order."""
+    front = F.floor(share * float(1 << 24))
+    return front, F.floor((share * float(1 << 24) - front) * float(1 << 29))
+
+
+def mean_of_shares(fronts: Column, behinds: Column, count: Column) -> Column:
+    """The mean of values from the sums of their parts."""
+    return (fronts / F.lit(float(1 << 24)) + behinds / F.lit(float(1 << 53))) / count
+
+
 def mean_share(share: Column) -> Column:
-    """Mean of values from 0 to 1 with all their digits, which the order of the rows hardly touches: 24 bits of each are
-    summed exactly as a bigint, only what lies behind them as a double."""
-    unit = float(1 << 24)
-    front = F.floor(share * unit)
-    behind = share - front / unit
-    return (F.sum(front) / F.lit(unit) + F.sum(behind)) / F.nullif(F.count(share), F.lit(0))
+    """Mean of values from 0 to 1, to 53 binary places and the same under any partitioning."""
+    front, behind = share_parts(share)
+    return mean_of_shares(F.sum(front), F.sum(behind), F.nullif(F.count(share), F.lit(0)))
 
 
 def has_nan(columns: list[str]) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from patronlens import contract as C
 from patronlens.functions.draws import MODULUS, PRIME, STREAMS
-from patronlens.plans.queries import AS_OF, FIXED_MODEL
+from patronlens.plans.queries import AS_OF, FIXED_MODEL, LANDING_DATES
+from patronlens.sources.feature_state import BUCKETS
 
 PROFILES = """
     SELECT c_custkey AS user_id,
@@ -183,6 +184,15 @@ def _outside_line(column: str, low: float, high: float, source: str) -> str:
     )
 
 
+_FIRST, _SECOND = LANDING_DATES[:2]
+LANDINGS = f"""
+    dated AS (SELECT o_custkey AS user_id, o_orderpriority AS method, CAST(o_orderdate AS DATE) AS day FROM orders),
+    regular AS (SELECT *, CASE WHEN day <= DATE '{_FIRST}' THEN 1 WHEN day <= DATE '{_SECOND}' THEN 2 ELSE 3 END AS due FROM dated),
+    arrived AS (SELECT *, CASE WHEN method = '1-URGENT' THEN greatest(due - 1, 1) WHEN method = '5-LOW' THEN least(due + 1, 3)
+                               ELSE due END AS landing FROM regular),
+    days AS (SELECT * FROM (VALUES {", ".join(f"({i}, DATE '{day}')" for i, day in enumerate(LANDING_DATES, start=1))}) AS v(number, as_of))
+"""
+
 ORACLE: dict[str, str] = {
     "csv_gzip_roundtrip": TRANSACTIONS,
     "stream_ingest_available_now": TRANSACTIONS,
@@ -343,4 +353,11 @@ ORACLE: dict[str, str] = {
         for (table, layout), source in zip(C.RAW_TABLES.items(), ("customer", "part", "orders"))
         for i, field in enumerate(layout)
     ),
+    "incremental_user_features": f"{ROUNDED} ({LABELED})",
+    "incremental_fold_log": f"""
+        WITH {LANDINGS}
+        SELECT number AS landing, as_of, count(*) FILTER (greatest(due, landing) = number) AS folded,
+               count(*) FILTER (landing <= number AND due > number) AS pending,
+               count(DISTINCT CASE WHEN greatest(due, landing) = number THEN user_id % {BUCKETS} END) AS buckets_written
+        FROM arrived, days GROUP BY number, as_of""",
 }

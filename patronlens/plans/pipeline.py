@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 
 from patronlens.operators.engineered import Thresholds, threshold_table, thresholds_of
 from patronlens.operators.features import user_features, with_churn_label
+from patronlens.operators.incremental import user_features_of
 from patronlens.operators.scoring import prediction_summary, score_features
 from patronlens.plans.training import TrainingResult, TrainingSettings, train_churn_model
+from patronlens.sources.feature_state import FeatureState
 from patronlens.sources.model_store import ModelStore
 from patronlens.sources.sql_functions import create_prediction_view, deploy_functions, require_deployable
 from patronlens.sources.warehouse import Warehouse
@@ -32,10 +34,20 @@ class DailyRun:
 
 def build_features(warehouse: Warehouse, as_of: dt.date | None = None) -> DataFrame:
     """Replace ``features.user_features`` from the raw tables, and ``features.thresholds`` with its percentiles.
-    Returns the stored table: every later figure describes what was stored."""
+    Returns the stored table: every later figure describes what was stored.
+
+    Transactions that are appended to are read once: their customers' stored past is brought up to date and gives the features.
+    A date before that of the stored past needs the whole table, as does one that is replaced by each load."""
     users = warehouse.table("raw_data", "raw_users")
-    transactions = warehouse.table("raw_data", "raw_transactions")
-    stored = warehouse.save(with_churn_label(user_features(users, transactions, as_of)), "features", "user_features")
+    rows = warehouse.appended("raw_transactions")
+    state = FeatureState(warehouse.spark, f"{warehouse.folder('features')}/_customer_state")
+    if rows is not None and as_of is not None and (state.manifest().as_of or as_of) <= as_of:
+        state.load(rows)
+        state.fold(as_of)
+        plain = user_features_of(users, state.read(), as_of)
+    else:
+        plain = user_features(users, warehouse.table("raw_data", "raw_transactions"), as_of)
+    stored = warehouse.save(with_churn_label(plain), "features", "user_features")
     warehouse.save(threshold_table(stored), "features", "thresholds")
     return stored
 

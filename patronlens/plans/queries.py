@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens import contract as C
-from patronlens.operators import dataset, engineered, features, joins, metrics, quality, reports, scoring
+from patronlens.operators import dataset, engineered, features, incremental, joins, metrics, quality, reports, scoring
 from patronlens.plans.pipeline import run_daily
 from patronlens.plans.training import (
     FOREST,
@@ -27,6 +27,7 @@ from patronlens.plans.training import feature_importances as importances_of
 from patronlens.shared import deleted_afterwards, kept_afterwards, new_path, on_leaving, write_table, written
 from patronlens.sources import sql_functions, star
 from patronlens.sources.csv_files import read_csv, write_csv
+from patronlens.sources.feature_state import FeatureState, Fold
 from patronlens.sources.model_store import ModelStore
 from patronlens.sources.warehouse import Warehouse, lower_case_columns
 from patronlens.streaming import jobs
@@ -204,6 +205,45 @@ def daily_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(checked.drop("churn_probability", "churn_prediction", "called"), ["recency_score"])
 
 
+# --- features that follow the landings ---------------------------------------------------------------
+
+# The reporting dates of three landings.
+LANDING_DATES = (dt.date(1999, 12, 31), dt.date(2001, 6, 30), AS_OF)
+
+
+def _landing() -> Column:
+    """When a transaction arrives: with its date, one landing late if it is of low priority, one early (from the day's view a
+    transaction of the future) if it is urgent."""
+    day = F.to_date("transaction_date")
+    regular = F.when(day <= LANDING_DATES[0], 1).when(day <= LANDING_DATES[1], 2).otherwise(3)
+    early, late = F.col("payment_method") == "1-URGENT", F.col("payment_method") == "5-LOW"
+    return F.when(early, F.greatest(regular - 1, F.lit(1))).when(late, F.least(regular + 1, F.lit(3))).otherwise(regular)
+
+
+def _folded(spark: SparkSession, folder: str) -> tuple[FeatureState, list[Fold]]:
+    """All transactions in three landings, each folded into the stored past of the customers."""
+    transactions = _transactions(spark, folder)
+    rows, state = new_path(spark, "arriving"), FeatureState(spark, new_path(spark, "state"), usual_methods=tuple(star.ORDER_PRIORITIES))
+    folds = []
+    for number, as_of in enumerate(LANDING_DATES, start=1):
+        transactions.where(_landing() == number).write.mode("append").parquet(rows)
+        state.load(rows, transactions.schema)
+        folds.append(state.fold(as_of))
+    return state, folds
+
+
+def incremental_user_features(spark: SparkSession, folder: str) -> DataFrame:
+    state, _ = _folded(spark, folder)
+    return _scored(features.with_churn_label(incremental.user_features_of(_profiles(spark, folder), state.read(), AS_OF)))
+
+
+def incremental_fold_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Per landing: transactions folded, transactions that wait for their day, buckets of customers written anew."""
+    _, folds = _folded(spark, folder)
+    lines = [(i, as_of, f.folded, f.pending, len(f.buckets)) for i, (as_of, f) in enumerate(zip(LANDING_DATES, folds), start=1)]
+    return spark.createDataFrame(lines, "landing int, as_of date, folded long, pending long, buckets_written long")
+
+
 # --- features, labels, model inputs ----------------------------------------------------------------
 
 
@@ -521,6 +561,8 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scoring_functions_by_name": scoring_functions_by_name,
     "rescored_with_current_thresholds": rescored_with_current_thresholds,
     "raw_table_layouts": raw_table_layouts,
+    "incremental_user_features": incremental_user_features,
+    "incremental_fold_log": incremental_fold_log,
 }
 
 # Queries that make tables on their way: what they return is written once, and everything else is deleted.
@@ -556,6 +598,8 @@ _WITH_TABLES = [
     "scoring_functions_by_name",
     "rescored_with_current_thresholds",
     "raw_table_layouts",
+    "incremental_user_features",
+    "incremental_fold_log",
 ]
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from patronlens.contract import RAW_TABLES
+from patronlens.shared import exists
 from patronlens.sources.csv_files import read_csv
 from patronlens.streaming.jobs import ingest_new_files
 
@@ -56,20 +57,33 @@ class Warehouse:
         """Bulk load one raw table from CSV."""
         return self.save(read_csv(self.spark, path, RAW_TABLES[table]), "raw_data", table)
 
+    def folder(self, schema: str) -> str:
+        return self.spark.catalog.getDatabase(f"{self.prefix}{schema}").locationUri
+
+    def appended(self, table: str) -> str | None:
+        """The Parquet folder of a raw table that is appended to; None if it was loaded as a whole or never."""
+        name = self.name("raw_data", table)
+        if not self.spark.catalog.tableExists(name) or self.spark.catalog.getTable(name).tableType != "VIEW":
+            return None
+        return f"{self.folder('raw_data')}/_ingested/{table}"
 
     def append_csv(self, table: str, landing: str) -> DataFrame:
         """Add the files of a landing folder that no run has loaded yet; each is loaded once, also after a failure.
 
-        The raw table is then a view of the rows ingested so far. A table that was loaded as a whole stays one.
+        The raw table is then a view of the rows ingested so far, none if no file ever came. A table that was loaded as a
+        whole stays one.
         """
         name = self.name("raw_data", table)
-        if self.spark.catalog.tableExists(name) and self.spark.catalog.getTable(name).tableType != "VIEW":
+        if self.spark.catalog.tableExists(name) and self.appended(table) is None:
             raise ValueError(f"{name} was loaded as a whole; drop it before appending")
-        folder = f"{self.spark.catalog.getDatabase(f'{self.prefix}raw_data').locationUri}/_ingested"
-        rows = f"{folder}/{table}"
-        ingest_new_files(self.spark, landing, RAW_TABLES[table], rows, f"{folder}/{table}_progress")
-        columns = ", ".join(RAW_TABLES[table].names)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{rows}`")
+        rows = f"{self.folder('raw_data')}/_ingested/{table}"
+        ingest_new_files(self.spark, landing, RAW_TABLES[table], rows, f"{rows}_progress")
+        if exists(self.spark, f"{rows}/_spark_metadata/0"):  # a first batch was written
+            query = f"SELECT {', '.join(RAW_TABLES[table].names)} FROM parquet.`{rows}`"
+        else:
+            columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW_TABLES[table]]
+            query = f"SELECT {', '.join(columns)} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
         return self.table("raw_data", table)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -35,6 +37,30 @@ def run_to_end(stream: DataFrame, target: str, progress: str) -> None:
     query.awaitTermination()
 
 
+def each_new_batch(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    action: Callable[[DataFrame, int], None],
+    progress: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
+    """Call ``action`` with all rows that were added to a Parquet folder since the last call, in numbered batches.
+
+    A batch that was cut short is repeated under its number by the next call, so ``action`` has to replace what it left.
+    """
+    query = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", str(files_per_batch))
+        .parquet(folder)
+        .writeStream.foreachBatch(action)
+        .option("checkpointLocation", progress)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, target: str, progress: str) -> None:
     """Load the files that arrived since the last run."""
     run_to_end(csv_stream(spark, landing, schema), target, progress)
