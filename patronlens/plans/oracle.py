@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from patronlens import contract as C
 from patronlens.functions.draws import MODULUS, PRIME, STREAMS
-from patronlens.plans.queries import AS_OF, FIXED_MODEL, LANDING_DATES
+from patronlens.plans.queries import AS_OF, EVENT_LANDINGS, FIRST_EVENT_DAY, FIXED_MODEL, LANDING_DATES
 from patronlens.sources.feature_state import BUCKETS
 
 PROFILES = """
@@ -360,4 +360,24 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (landing <= number AND due > number) AS pending,
                count(DISTINCT CASE WHEN greatest(due, landing) = number THEN user_id % {BUCKETS} END) AS buckets_written
         FROM arrived, days GROUP BY number, as_of""",
+    "late_event_activity": f"""
+        WITH numbered AS (
+            SELECT *, greatest(least(date_diff('day', DATE '{FIRST_EVENT_DAY}', CAST(ts AS DATE)) // 8 + 1, {EVENT_LANDINGS}), 1)
+                      + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS landing FROM events),
+        delivered AS (SELECT landing, ts FROM numbered
+                      UNION ALL SELECT landing + 1, ts FROM numbered WHERE event_type = 'click'),
+        marks AS (SELECT landing, epoch_ms(max(ts)) - 86400000 AS mark FROM delivered GROUP BY landing),
+        before AS (SELECT n.landing, (SELECT max(mark) FROM marks m WHERE m.landing < n.landing) AS mark
+                   FROM (SELECT DISTINCT landing FROM delivered) n),
+        fresh AS (SELECT e.* FROM numbered e JOIN before b USING (landing) WHERE b.mark IS NULL OR epoch_us(ts) > b.mark * 1000)
+        SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+        FROM fresh GROUP BY 1, 2 HAVING epoch_ms(CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP)) <= (SELECT max(mark) FROM marks)""",
+    "distinct_users_in_ranges": f"""
+        WITH weeks AS (SELECT DATE '{FIRST_EVENT_DAY}' + CAST(7 * i AS INTEGER) AS start FROM generate_series(0, 3) AS g(i)),
+        ranges AS (SELECT a.start AS range_from, b.start + 6 AS range_to FROM weeks a JOIN weeks b ON a.start <= b.start)
+        SELECT event_type, range_from, range_to, count(DISTINCT user_id) AS users, true AS within_bound
+        FROM events JOIN ranges ON CAST(ts AS DATE) BETWEEN range_from AND range_to GROUP BY 1, 2, 3""",
+    "sketched_thresholds": f"""{WITH}
+        SELECT column_name, 3 AS batches, (SELECT count(*) FROM labeled) AS rows, true AS within_bound
+        FROM (VALUES ('total_spent'), ('total_transactions')) AS c(column_name)""",
 }

@@ -12,7 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens import contract as C
-from patronlens.operators import dataset, engineered, features, incremental, joins, metrics, quality, reports, scoring
+from patronlens.operators import (
+    dataset,
+    engineered,
+    features,
+    incremental,
+    joins,
+    metrics,
+    quality,
+    reports,
+    scoring,
+    sketches,
+)
 from patronlens.plans.pipeline import run_daily
 from patronlens.plans.training import (
     FOREST,
@@ -30,7 +41,7 @@ from patronlens.sources.csv_files import read_csv, write_csv
 from patronlens.sources.feature_state import FeatureState, Fold
 from patronlens.sources.model_store import ModelStore
 from patronlens.sources.warehouse import Warehouse, lower_case_columns
-from patronlens.streaming import jobs
+from patronlens.streaming import activity, jobs
 
 AS_OF = dt.date(2001, 8, 2)  # the day after the newest order
 
@@ -244,6 +255,80 @@ def incremental_fold_log(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(lines, "landing int, as_of date, folded long, pending long, buckets_written long")
 
 
+# --- streams with state, sketches --------------------------------------------------------------------
+
+FIRST_EVENT_DAY, EVENT_LANDINGS = dt.date(2024, 1, 1), 4  # of 8 days each, the last one open
+
+
+def _event_landing() -> Column:
+    week = F.floor(F.datediff(F.to_date("ts"), F.lit(FIRST_EVENT_DAY)) / 8)
+    return F.greatest(F.least(week + 1, F.lit(EVENT_LANDINGS)), F.lit(1)).cast("int")
+
+
+def _activity(spark: SparkSession, folder: str) -> DataFrame:
+    """All events in landings of eight days: errors arrive a landing late, clicks twice. Each landing restarts the stream."""
+    events = star.star_table(spark, folder, "events")
+    arriving, target, progress = (new_path(spark, name) for name in ("events", "activity", "activity-progress"))
+    number = _event_landing()
+    for landing in range(1, EVENT_LANDINGS + 2):
+        regular = (F.col("event_type") != "error") & (number == landing)
+        again = F.col("event_type").isin("error", "click") & (number + 1 == landing)
+        events.where(regular | again).write.mode("append").parquet(arriving)
+        activity.append_activity(spark, arriving, events.schema, target, progress)
+    return spark.read.parquet(target)
+
+
+def late_event_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """The days that the watermark has passed, without what came behind it."""
+    return _activity(spark, folder).select("day", "event_type", "events", "total_value")
+
+
+def distinct_users_in_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Users per event type in every range of whole weeks, from one sketch a day, and whether it is as near as promised."""
+    events = star.star_table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    daily = written(events.groupBy("day", "event_type").agg(sketches.distinct_sketch("user_id").alias("users")), "daily-users")
+    starts = [FIRST_EVENT_DAY + dt.timedelta(days=7 * i) for i in range(4)]
+    ranges = [(a, b + dt.timedelta(days=6)) for a in starts for b in starts if a <= b]
+    found = sketches.distinct_in_ranges(daily, "day", "users", ["event_type"], ranges)
+    lines = F.array(*[F.struct(F.lit(a).alias("range_from"), F.lit(b).alias("range_to")) for a, b in ranges])
+    covering = F.filter(lines, lambda r: F.col("day").between(r["range_from"], r["range_to"]))
+    exact = (
+        events.select("event_type", "user_id", F.inline(covering))
+        .groupBy("event_type", "range_from", "range_to")
+        .agg(F.count_distinct("user_id").alias("users"))
+    )
+    near = F.abs(F.col("distinct_estimate") - F.col("users")) <= F.greatest(F.lit(1.0), 4 * sketches.DISTINCT_ERROR * F.col("users"))
+    return exact.join(found, ["event_type", "range_from", "range_to"]).select(
+        "event_type", "range_from", "range_to", "users", near.alias("within_bound")
+    )
+
+
+def sketched_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """Features that arrive in batches, sketched batch by batch; is each merged 80th percentile as near to the exact rank as promised?"""
+    stored, arriving = _stored_features(spark, folder), new_path(spark, "arriving-features")
+    found, progress = new_path(spark, "sketches"), new_path(spark, "sketch-progress")
+    numbers = []
+
+    def sketch(batch: DataFrame, number: int) -> None:
+        numbers.append(number)
+        sketches.feature_sketches(batch).write.mode("overwrite").parquet(f"{found}/{number}")
+
+    for segment in C.SEGMENTS:  # three days' worth
+        stored.where(F.col("customer_segment") == segment).write.mode("append").parquet(arriving)
+        jobs.each_new_batch(spark, arriving, stored.schema, sketch, progress)
+    batches = spark.read.parquet(*[f"{found}/{number}" for number in sorted(set(numbers))])
+    limits = sketches.sketched_thresholds(batches)
+    lines = []
+    for name, limit in zip(sketches.THRESHOLD_COLUMNS, (limits.total_spent, limits.total_transactions)):
+        below, upto, rows = stored.agg(
+            F.count_if(F.col(name) < limit), F.count_if(F.col(name) <= limit), F.count(name)
+        ).first()
+        slack = sketches.RANK_ERROR * rows + 1
+        near = below - slack <= C.HIGH_SHARE * rows <= upto + slack
+        lines.append((name, len(set(numbers)), rows, near))
+    return spark.createDataFrame(lines, "column_name string, batches int, rows long, within_bound boolean")
+
+
 # --- features, labels, model inputs ----------------------------------------------------------------
 
 
@@ -563,6 +648,9 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_table_layouts": raw_table_layouts,
     "incremental_user_features": incremental_user_features,
     "incremental_fold_log": incremental_fold_log,
+    "late_event_activity": late_event_activity,
+    "distinct_users_in_ranges": distinct_users_in_ranges,
+    "sketched_thresholds": sketched_thresholds,
 }
 
 # Queries that make tables on their way: what they return is written once, and everything else is deleted.
@@ -600,6 +688,9 @@ _WITH_TABLES = [
     "raw_table_layouts",
     "incremental_user_features",
     "incremental_fold_log",
+    "late_event_activity",
+    "distinct_users_in_ranges",
+    "sketched_thresholds",
 ]
 
 
