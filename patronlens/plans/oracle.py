@@ -380,4 +380,7 @@ ORACLE: dict[str, str] = {
     "sketched_thresholds": f"""{WITH}
         SELECT column_name, 3 AS batches, (SELECT count(*) FROM labeled) AS rows, true AS within_bound
         FROM (VALUES ('total_spent'), ('total_transactions')) AS c(column_name)""",
+    "boosted_model_scores": f"""{WITH}
+        SELECT user_id, is_churned, true AS is_probability, true AS decision_follows, true AS view_agrees, true AS native
+        FROM labeled""",
 }

@@ -14,7 +14,7 @@ from patronlens.operators.scoring import prediction_summary, score_features
 from patronlens.plans.training import TrainingResult, TrainingSettings, train_churn_model
 from patronlens.sources.feature_state import FeatureState
 from patronlens.sources.model_store import ModelStore
-from patronlens.sources.sql_functions import create_prediction_view, deploy_functions, require_deployable
+from patronlens.sources.sql_functions import create_prediction_view, deploy_functions
 from patronlens.sources.warehouse import Warehouse
 
 MONDAY = 0
@@ -29,7 +29,7 @@ class DailyRun:
     predictions: DataFrame
     summary: DataFrame
     training: TrainingResult | None
-    view: str | None  # of a logistic model; a forest has no function that a view could call
+    view: str  # the feature table as it is, scored by the model deployed last when it is read
 
 
 def build_features(warehouse: Warehouse, as_of: dt.date | None = None) -> DataFrame:
@@ -83,7 +83,6 @@ def run_daily(
         training = train_churn_model(features, settings)
         if training.model is None:
             raise RuntimeError("no candidate model ranks churned customers above others")
-        require_deployable(training.model)
         version = models.publish(training.model)
         model = training.model
     elif model is None:
@@ -91,11 +90,8 @@ def run_daily(
 
     schema, view = f"{warehouse.prefix}ml_models", warehouse.name("ml_models", "current_churn_predictions")
     tables = warehouse.name("features", "user_features"), warehouse.name("features", "thresholds")
-    if model.linear is None:
-        warehouse.spark.sql(f"DROP VIEW IF EXISTS {view}")  # before the functions that it calls
     deploy_functions(warehouse.spark, schema, model)
-    if model.linear is not None:
-        create_prediction_view(warehouse.spark, view, *tables, schema)
+    create_prediction_view(warehouse.spark, view, *tables, schema)
     thresholds = thresholds_of(warehouse.table("features", "thresholds"))
     scored = score_features(features, model, thresholds)
     predictions = warehouse.save(scored, "ml_models", "customer_churn_predictions")
@@ -107,5 +103,5 @@ def run_daily(
         predictions,
         prediction_summary(predictions),
         training,
-        view if model.linear is not None else None,
+        view,
     )

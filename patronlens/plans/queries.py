@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ from patronlens.operators import (
 )
 from patronlens.plans.pipeline import run_daily
 from patronlens.plans.training import (
+    BOOSTED,
     FOREST,
     LOGISTIC,
     TrainingResult,
@@ -35,7 +37,7 @@ from patronlens.plans.training import (
     train_churn_model,
 )
 from patronlens.plans.training import feature_importances as importances_of
-from patronlens.shared import deleted_afterwards, kept_afterwards, new_path, on_leaving, write_table, written
+from patronlens.shared import delete, deleted_afterwards, kept_afterwards, new_path, on_leaving, write_table, written
 from patronlens.sources import sql_functions, star
 from patronlens.sources.csv_files import read_csv, write_csv
 from patronlens.sources.feature_state import FeatureState, Fold
@@ -211,7 +213,7 @@ def daily_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     run = run_daily(warehouse, ModelStore(spark, new_path(spark, "models")), AS_OF, landed, append=True)
     names = warehouse.name("features", "user_features"), warehouse.name("features", "thresholds")
     called = spark.sql(sql_functions.prediction_query(*names)).select("user_id", F.col("churn_probability").alias("called"))
-    agrees = (F.abs(F.col("churn_probability") - F.col("called")) < 1e-9).alias("function_agrees")
+    agrees = (F.abs(F.col("churn_probability") - F.col("called")) < 1e-12).alias("function_agrees")
     checked = run.predictions.join(called, "user_id").select("*", *_score_checks(), agrees)
     return _rounded(checked.drop("churn_probability", "churn_prediction", "called"), ["recency_score"])
 
@@ -426,18 +428,23 @@ def _input_files(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int]
     return tuple(sorted(found))
 
 
-@lru_cache(maxsize=2)
-def _trained_once(
-    spark: SparkSession, folder: str, files: tuple[tuple[str, int, int], ...]
-) -> tuple[DataFrame, TrainingResult]:
-    stored = _stored_features(spark, folder)
-    return stored, train_churn_model(stored)
+_fits: dict[tuple, tuple[DataFrame, TrainingResult, list]] = {}  # the last two, each with the paths that it reads
+_fitting = threading.Lock()
 
 
 def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, TrainingResult]:
     """The feature table and what was trained on it; once per session, folder and state of its files."""
-    with kept_afterwards():
-        return _trained_once(spark, folder, _input_files(spark, folder))
+    key = (spark, folder, _input_files(spark, folder))
+    with _fitting:
+        if key not in _fits:
+            with kept_afterwards() as paths:
+                stored = _stored_features(spark, folder)
+                _fits[key] = (stored, train_churn_model(stored), paths)
+            while len(_fits) > 2:
+                oldest = next(iter(_fits))
+                for path in _fits.pop(oldest)[2]:
+                    delete(oldest[0], path)
+        return _fits[key][:2]
 
 
 def _rank_auc(scored: DataFrame) -> float:
@@ -535,7 +542,7 @@ def scoring_functions_by_name(spark: SparkSession, folder: str) -> DataFrame:
         paths.append(write_table(called, "called"))
     expected = scoring.score_features(stored, forest).select("user_id", F.col("churn_probability").alias("expected"))
     by_forest = spark.read.parquet(paths[1]).join(expected, "user_id")
-    agrees = (F.abs(F.col("churn_probability") - F.col("expected")) < 1e-9).alias("forest_agrees")
+    agrees = (F.abs(F.col("churn_probability") - F.col("expected")) < 1e-12).alias("forest_agrees")
     again = spark.read.parquet(paths[2]).exceptAll(spark.read.parquet(paths[0])).count() == 0
     return (
         spark.read.parquet(paths[2])
@@ -544,6 +551,25 @@ def scoring_functions_by_name(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def boosted_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Boosted trees, trained and deployed: do functions, view and pipeline agree, and is all of it free of Python?"""
+    warehouse = _new_warehouse(spark)
+    stored = warehouse.save(_labeled(spark, folder), "features", "user_features")
+    warehouse.save(engineered.threshold_table(stored), "features", "thresholds")
+    result = train_churn_model(stored, TrainingSettings(candidates=(BOOSTED,), trees=20, folds=0))
+    schema = f"{warehouse.prefix}ml_models"
+    sql_functions.deploy_functions(spark, schema, result.model)
+    names = warehouse.name("features", "user_features"), warehouse.name("features", "thresholds")
+    view = sql_functions.create_prediction_view(spark, warehouse.name("ml_models", "current"), *names, schema)
+    scored = scoring.score_features(stored, result.model)
+    native = "Python" not in view._jdf.queryExecution().executedPlan().toString()
+    pairs = scored.select("user_id", "is_churned", "churn_probability", "churn_prediction").join(
+        view.select("user_id", F.col("churn_probability").alias("called"), F.col("churn_prediction").alias("decided")), "user_id"
+    )
+    agrees = (F.abs(F.col("churn_probability") - F.col("called")) < 1e-12) & (F.col("churn_prediction") == F.col("decided"))
+    return pairs.select("user_id", "is_churned", *_score_checks(), agrees.alias("view_agrees"), F.lit(native).alias("native"))
+
+
 def rescored_with_current_thresholds(spark: SparkSession, folder: str) -> DataFrame:
     """A model that was trained when other thresholds held, scoring today's table."""
     stored = _stored_features(spark, folder)
@@ -651,6 +677,7 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_event_activity": late_event_activity,
     "distinct_users_in_ranges": distinct_users_in_ranges,
     "sketched_thresholds": sketched_thresholds,
+    "boosted_model_scores": boosted_model_scores,
 }
 
 # Queries that make tables on their way: what they return is written once, and everything else is deleted.
@@ -691,6 +718,7 @@ _WITH_TABLES = [
     "late_event_activity",
     "distinct_users_in_ranges",
     "sketched_thresholds",
+    "boosted_model_scores",
 ]
 
 

@@ -10,7 +10,7 @@ from patronlens.operators import scoring
 from patronlens.operators.dataset import with_class_weight
 from patronlens.operators.engineered import Thresholds, fit_thresholds, model_matrix, threshold_table
 from patronlens.plans import training
-from patronlens.shared import new_path
+from patronlens.shared import new_path, write_table
 from patronlens.sources import sql_functions
 from patronlens.sources.model_store import ModelStore
 from patronlens.sources.warehouse import Warehouse
@@ -131,26 +131,54 @@ def test_unknown_thresholds_flag_nobody_in_sql(spark, features):
     )
 
 
-def test_names_always_call_the_model_deployed_last(spark, features, forest):
-    features.createOrReplaceTempView("deployed_rows")
+@pytest.fixture(scope="module")
+def boosted(spark, features):
+    matrix = training.pipeline_inputs(model_matrix(features, THRESHOLDS))
+    return training.candidate_pipeline(training.BOOSTED, 300, training.TrainingSettings(trees=4)).fit(with_class_weight(matrix))
+
+
+def test_names_always_call_the_model_deployed_last(spark, features, forest, boosted):
+    rows = spark.read.parquet(write_table(features.union(odd_rows(features)), "rows"))
+    rows.createOrReplaceTempView("deployed_rows")
     threshold_table(features).createOrReplaceTempView("deployed_limits")
     limits = fit_thresholds(features)
     linear = scoring.ChurnModel("LogisticRegression", limits, LINEAR)
     trees = scoring.ChurnModel("RandomForest", limits, pipeline=forest)
+    steps = scoring.ChurnModel("GradientBoostedTrees", limits, pipeline=boosted)
     arguments = sql_functions.model_arguments("deployed_limits")
-    for model in (linear, trees, linear, trees):
+    for model in (linear, trees, steps, linear, trees):
         sql_functions.deploy_functions(spark, "default", model)
-        called = spark.sql(
-            f"SELECT user_id, predict_churn_probability({arguments}) p, predict_churn_binary({arguments}) b, "
-            f"predict_churn({arguments}) c FROM deployed_rows ORDER BY user_id"
-        ).collect()
-        expected = scoring.score_features(features, model).orderBy("user_id").collect()
-        assert [r.p for r in called] == pytest.approx([r.churn_probability for r in expected], abs=1e-12)
-        assert [(r.b, r.c) for r in called] == [(r.churn_prediction,) * 2 for r in expected]
-        assert spark.catalog.functionExists("default.predict_churn") == (model is linear)
-    with pytest.raises(ValueError, match="no SQL functions"):
-        sql_functions.deploy_functions(spark, "default", scoring.ChurnModel("GradientBoostedTrees", limits, pipeline=forest))
-    assert spark.catalog.functionExists("predict_churn")
+        want = sorted(scoring.score_features(rows, model).select("user_id", "churn_probability", "churn_prediction").collect())
+        for prefix in ("", "default."):
+            called = spark.sql(
+                f"SELECT user_id, {prefix}predict_churn_probability({arguments}) p, {prefix}predict_churn_binary({arguments}) b, "
+                f"{prefix}predict_churn({arguments}) c FROM deployed_rows"
+            )
+            got = sorted(called.collect())
+            assert [r.p for r in got] == pytest.approx([r.churn_probability for r in want], abs=1e-12)
+            assert [(r.b, r.c) for r in got] == [(r.churn_prediction,) * 2 for r in want]
+            assert "Python" not in called._jdf.queryExecution().executedPlan().toString()
+        kept = [t.name for t in spark.catalog.listTables("default") if t.name.startswith(sql_functions.TREES)]
+        assert len(kept) == (model is not linear)
+
+
+def test_the_view_outlives_every_deployment(spark, features, forest, boosted):
+    warehouse = Warehouse(spark, "deployed_test_", new_path(spark, "warehouse")).create()
+    stored = warehouse.save(features, "features", "user_features")
+    warehouse.save(threshold_table(stored), "features", "thresholds")
+    names, schema = ("deployed_test_features.user_features", "deployed_test_features.thresholds"), "deployed_test_ml_models"
+    limits = fit_thresholds(stored)
+    for model in (scoring.ChurnModel("x", limits, LINEAR), scoring.ChurnModel("x", limits, pipeline=forest)):
+        sql_functions.deploy_functions(spark, schema, model)
+        view = sql_functions.create_prediction_view(spark, f"{schema}.current", *names, schema)
+    # the next model reaches a view that was made before
+    model = scoring.ChurnModel("x", limits, pipeline=boosted)
+    sql_functions.deploy_functions(spark, schema, model)
+    compare = ["user_id", "churn_probability", "churn_prediction"]
+    got, want = (sorted(df.select(compare).collect()) for df in (spark.table(f"{schema}.current"), scoring.score_features(stored, model)))
+    assert [r[::2] for r in got] == [r[::2] for r in want]
+    assert [r[1] for r in got] == pytest.approx([r[1] for r in want], abs=1e-12)
+    assert view.columns == [*features.columns, "churn_probability", "churn_prediction"]
 
 
 def test_two_runs_never_publish_one_version(spark):
@@ -161,29 +189,6 @@ def test_two_runs_never_publish_one_version(spark):
     assert first.publish(scoring.ChurnModel("LogisticRegression", THRESHOLDS, LINEAR)) == 3
 
 
-def test_forest_functions_equal_the_pipeline(spark, features, forest):
-    sql_functions.register_forest_function(spark, forest)
-    rows = features.union(odd_rows(features))
-    expected = scoring.score_features(rows, scoring.ChurnModel("RandomForest", THRESHOLDS, pipeline=forest))
-    rows.createOrReplaceTempView("forest_rows")
-    segment = "CASE customer_segment WHEN 'Premium' THEN 2 WHEN 'Standard' THEN 1 ELSE 0 END"
-    arguments = {
-        "spend_per_transaction": "CASE WHEN total_transactions > 0 THEN total_spent / total_transactions ELSE 0 END",
-        "high_value_customer": "CASE WHEN total_spent > 3000 THEN 1 ELSE 0 END",
-        "frequent_buyer": "CASE WHEN total_transactions > 20 THEN 1 ELSE 0 END",
-        "customer_segment_encoded": segment,
-    }
-    call = ", ".join(arguments.get(name, name) for name in C.MODEL_FEATURES)
-    got = spark.sql(
-        f"SELECT user_id, predict_churn_probability({call}) AS p, predict_churn_binary({call}) AS b, "
-        f"predict_churn({call}) AS c FROM forest_rows"
-    ).collect()
-    want = expected.select("user_id", "churn_probability", "churn_prediction", "churn_prediction").collect()
-    assert [(r[0], pytest.approx(r[1], abs=1e-12), r[2], r[3]) for r in sorted(got, key=repr)] == [
-        tuple(r) for r in sorted(want, key=repr)
-    ]
-
-
 def test_model_store_round_trip(spark, features, forest):
     store = ModelStore(spark, new_path(spark, "models"))
     assert store.latest() is None
