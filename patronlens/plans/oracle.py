@@ -383,4 +383,17 @@ ORACLE: dict[str, str] = {
     "boosted_model_scores": f"""{WITH}
         SELECT user_id, is_churned, true AS is_probability, true AS decision_follows, true AS view_agrees, true AS native
         FROM labeled""",
+    "last_order_before_shipping": """
+        WITH bought AS (SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_shipdate AS shipped, o_custkey AS user_id
+                        FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+        newest AS (SELECT o_custkey AS user_id, o_orderdate AS newest_date, max(o_orderkey) AS newest_order,
+                          arg_max(o_totalprice, o_orderkey) AS newest_amount FROM orders GROUP BY 1, 2)
+        SELECT b.*, n.newest_order, n.newest_date, n.newest_amount
+        FROM bought b ASOF LEFT JOIN newest n ON b.user_id = n.user_id AND b.shipped >= n.newest_date""",
+    "transaction_gaps": """
+        WITH ordered AS (SELECT o_custkey AS user_id, date_diff('day', lag(CAST(o_orderdate AS DATE)) OVER
+                                (PARTITION BY o_custkey ORDER BY o_orderdate), CAST(o_orderdate AS DATE)) AS gap FROM orders)
+        SELECT user_id, count(*) AS transactions, count(gap) AS gaps, round(avg(gap), 9) AS mean_gap,
+               quantile_cont(CAST(gap AS DOUBLE), 0.5) AS median_gap, CAST(max(gap) AS INTEGER) AS longest_gap
+        FROM ordered GROUP BY user_id""",
 }

@@ -20,6 +20,7 @@ from patronlens.operators import (
     incremental,
     joins,
     metrics,
+    ordered,
     quality,
     reports,
     scoring,
@@ -257,6 +258,24 @@ def incremental_fold_log(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(lines, "landing int, as_of date, folded long, pending long, buckets_written long")
 
 
+# --- in the order of time ----------------------------------------------------------------------------
+
+
+def last_order_before_shipping(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order line with its buyer's newest order on the day that it was shipped."""
+    lines = star.star_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_shipdate").alias("shipped")
+    )
+    orders = _transactions(spark, folder)
+    bought = lines.join(orders.select(F.col("transaction_id").alias("order_id"), "user_id"), "order_id")
+    newest = {"transaction_id": "newest_order", "transaction_date": "newest_date", "total_amount": "newest_amount"}
+    return ordered.asof_join(bought, orders, "user_id", "shipped", "transaction_date", newest, ["transaction_id"])
+
+
+def transaction_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return ordered.gap_statistics(_transactions(spark, folder), "user_id", "transaction_date")
+
+
 # --- streams with state, sketches --------------------------------------------------------------------
 
 FIRST_EVENT_DAY, EVENT_LANDINGS = dt.date(2024, 1, 1), 4  # of 8 days each, the last one open
@@ -678,6 +697,8 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_users_in_ranges": distinct_users_in_ranges,
     "sketched_thresholds": sketched_thresholds,
     "boosted_model_scores": boosted_model_scores,
+    "last_order_before_shipping": last_order_before_shipping,
+    "transaction_gaps": lambda s, d: _rounded(transaction_gaps(s, d), ["mean_gap"]),
 }
 
 # Queries that make tables on their way: what they return is written once, and everything else is deleted.

@@ -1,0 +1,69 @@
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from patronlens.operators import ordered
+
+START = dt.datetime(2024, 1, 1)
+
+
+def moment(draw):
+    return None if draw.random() < 0.05 else START + dt.timedelta(hours=6 * draw.randrange(1200))
+
+
+def key(draw):
+    return 1 if draw.random() < 0.35 else draw.choice([2, 3, 4, None])
+
+
+def test_asof_join_equals_comparing_all(spark, adaptive):
+    draw = random.Random(1)
+    left = [(i, key(draw), moment(draw)) for i in range(400)]
+    right = [(i, key(draw), moment(draw), draw.choice(["a", None])) for i in range(300)]
+    asked = spark.createDataFrame(left, "id int, user int, at timestamp_ntz").repartition(3)
+    events = spark.createDataFrame(right, "event int, user int, time timestamp_ntz, note string").repartition(3)
+    for days in (7, 90, 10_000):
+        found = ordered.asof_join(asked, events, "user", "at", "time", {"event": "last_event", "time": "last_time", "note": "note"}, ["event"], days)
+        got = {r.id: (r.user, r.at, r.last_event, r.last_time, r.note) for r in found.collect()}
+        assert found.count() == len(left) == len(got)
+        for i, user, at in left:
+            past = [r for r in right if None not in (user, at, r[2]) and r[1] == user and r[2] <= at]
+            last = max(past, key=lambda r: (r[2], r[0]), default=(None, None, None, None))
+            assert got[i] == (user, at, last[0], last[2], last[3])
+    assert ordered.asof_join(asked, events.limit(0), "user", "at", "time", {"event": "e"}, ["event"]).where("e IS NOT NULL").count() == 0
+    assert ordered.asof_join(asked.limit(0), events, "user", "at", "time", {"event": "e"}, ["event"]).collect() == []
+
+
+def test_gaps_equal_a_plain_scan(spark, adaptive):
+    draw = random.Random(2)
+    rows = [(key(draw), moment(draw)) for _ in range(500)] + [(9, START)]
+    df = spark.createDataFrame(rows, "user int, at timestamp_ntz").repartition(3)
+    for days in (1, 30, 10_000):
+        got = {r.user: r for r in ordered.gap_statistics(df, "user", "at", days).collect()}
+        assert set(got) == {1, 2, 3, 4, 9}
+        for user, row in got.items():
+            dates = sorted(at for u, at in rows if u == user and at is not None)
+            gaps = sorted((b.date() - a.date()).days for a, b in zip(dates, dates[1:]))
+            assert (row.transactions, row.gaps) == (len(dates), len(gaps))
+            if gaps:
+                middle = (gaps[(len(gaps) - 1) // 2] + gaps[len(gaps) // 2]) / 2
+                assert (row.mean_gap, row.median_gap, row.longest_gap) == (sum(gaps) / len(gaps), middle, gaps[-1])
+            else:
+                assert (row.mean_gap, row.median_gap, row.longest_gap) == (None, None, None)
+
+
+def test_a_hot_customer_is_many_tasks(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("user"),
+        F.lit(START).cast("timestamp_ntz").alias("start"),
+        (F.col("id") % 1000).cast("int").alias("day"),
+    ).selectExpr("user", "start + make_dt_interval(day) AS at")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        # the gaps are computed where the (customer, chunk) is, and nothing gathers the customer's rows afterwards
+        scanned = ordered.with_days_since_previous(rows, "user", "at", 20).withColumn("task", F.spark_partition_id())
+        per_task = scanned.where("user = 1").groupBy("task").agg(F.count("*").alias("n"), F.max("days_since_previous").alias("gap"))
+        tasks = {r.task: r.n for r in per_task.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(tasks) >= 8 and max(tasks.values()) <= 300 < sum(tasks.values())
