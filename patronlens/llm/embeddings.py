@@ -1,9 +1,11 @@
 """Embedding near-duplicates with an inverted-list index and product quantisation.
 
 Vectors are scaled to length 1. A k-means of a bounded sample gives the coarse lists; what a vector differs from the centre of its list
-is cut into ``PARTS`` subspaces, and each part is replaced by the nearest of up to ``CODES`` centres of that subspace. Centres within
+is cut into ``PARTS`` subspaces, and each part is replaced by the nearest of up to ``CODES`` centres of that subspace. Dense centres within
 the threshold of each other, directly or over others, are one list: a dense group is cut into many centres but stays one list, as lists
-that hold parts of a group in which all pairs are links have centres within the threshold, too. A vector sits in the list of its nearest
+that hold parts of a group in which all pairs are links have centres within the threshold, too. A centre is dense if its vectors' mean
+cosine with it is at least the square root of the threshold, as it is where all of them link; the centres of vectors that only share a common direction
+are near each other, too, but not dense, and stay lists of their own. A vector sits in the list of its nearest
 centre and visits the ``PROBES`` next lists. In every list, visitors and members are compared with the members: a
 table of the products of a vector's parts with all code centres gives its approximate cosine with any member by ``PARTS`` look-ups.
 Candidates are then compared by the exact cosine in double precision, so no pair below the threshold is linked.
@@ -73,17 +75,25 @@ def k_means(points: np.ndarray, count: int, random: np.random.Generator) -> np.n
     return centres
 
 
-def merged(centres: np.ndarray, threshold: float) -> np.ndarray:
-    """The list of each centre: centres whose cosine is at least the threshold, directly or over others, share one."""
+def dense(vectors: np.ndarray, own: np.ndarray, centres: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the unit ``vectors`` of each centre (``own``) have a mean cosine of at least sqrt(threshold) with it."""
+    directions = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-300)
+    sizes = np.bincount(own, minlength=len(centres))
+    total = np.bincount(own, weights=(vectors * directions[own]).sum(axis=1), minlength=len(centres))
+    return total >= (np.sqrt(threshold) - 1e-9) * np.maximum(sizes, 1)
+
+
+def merged(centres: np.ndarray, threshold: float, mergeable: np.ndarray) -> np.ndarray:
+    """The list of each centre: mergeable centres whose cosine is at least the threshold, directly or over others, share one."""
     directions = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-300)
     lists = np.full(len(centres), -1, dtype=np.int64)
     for start in range(len(centres)):
         if lists[start] >= 0:
             continue
-        number, waiting = lists.max() + 1, [start]
+        number, waiting = lists.max() + 1, [start] if mergeable[start] else []
         lists[start] = number
         while waiting:
-            close = np.flatnonzero((lists < 0) & (directions @ directions[waiting.pop()] >= threshold - 1e-9))
+            close = np.flatnonzero((lists < 0) & mergeable & (directions @ directions[waiting.pop()] >= threshold - 1e-9))
             lists[close] = number
             waiting.extend(close.tolist())
     return lists
@@ -109,13 +119,14 @@ class Index:
         random = np.random.default_rng(seed)
         vectors = unit(vectors.astype(np.float64))
         centres = k_means(vectors, min(lists, len(vectors)), random)
-        rest = vectors - centres[nearest(vectors, centres)[:, 0]]
+        own = nearest(vectors, centres)[:, 0]
+        rest = vectors - centres[own]
         parts = min(PARTS, vectors.shape[1])
         borders = [i * vectors.shape[1] // parts for i in range(parts + 1)]
         codes = [
             k_means(rest[:, a:b], min(CODES, len(rest)), random) for a, b in zip(borders[:-1], borders[1:])
         ]
-        return Index(centres, codes, borders, threshold, merged(centres, threshold))
+        return Index(centres, codes, borders, threshold, merged(centres, threshold, dense(vectors, own, centres, threshold)))
 
     def _subspaces(self) -> zip:
         return zip(self.codes, self.borders[:-1], self.borders[1:])

@@ -113,3 +113,33 @@ def test_recall_of_a_dense_group_at_fifty_thousand_rows():
     unit = embeddings.unit(rows[:17_000])
     assert ((unit[a] * unit[b]).sum(axis=1) >= 0.93).all() and len(set(places[:, 0])) > 50
     assert ((own[a] == own[b]) | (visits[a] == own[b][:, None]).any(axis=1) | (visits[b] == own[a][:, None]).any(axis=1)).all()
+
+
+def directional(seed, count, cosine=0.7, size=64):
+    """Vectors with a common direction: any two have about that cosine, and some have near copies."""
+    draw = np.random.default_rng(seed)
+    common = embeddings.unit(draw.normal(size=(1, size)))
+    rows = np.sqrt(cosine) * common + np.sqrt(1 - cosine) * embeddings.unit(draw.normal(size=(count, size)))
+    copies = count // 10
+    rows[:copies] = rows[copies : 2 * copies] + draw.normal(size=(copies, size)) * 0.1 / size**0.5
+    return rows
+
+
+def test_a_common_direction_does_not_make_one_list():
+    rows = directional(7, 20_000)
+    index = embeddings.Index.fit(rows, 128, 0.93)
+    places = index.encode(rows)[0]
+    own, visits = index.lists[places[:, 0]], places[:, 1:]
+    assert np.bincount(own).max() < 0.1 * len(rows) and len(set(own.tolist())) > 64
+    a, b = np.arange(2000), np.arange(2000, 4000)
+    unit = embeddings.unit(rows)
+    assert ((unit[a] * unit[b]).sum(axis=1) >= 0.93).mean() > 0.99
+    met = (own[a] == own[b]) | (visits[a] == own[b][:, None]).any(axis=1) | (visits[b] == own[a][:, None]).any(axis=1)
+    assert met.mean() >= 0.99
+
+
+def test_links_among_vectors_with_a_common_direction(spark):
+    rows = [(i, [float(x) for x in np.float32(v)], 0) for i, v in enumerate(directional(8, 1500))]
+    got, want = found(spark, rows), brute(rows)
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert sum(n for n, _ in got.values()) >= 0.99 * sum(n for n, _ in want.values()) > 200
