@@ -33,8 +33,8 @@ from patronlens.plans.training import (
     LOGISTIC,
     TrainingResult,
     TrainingSettings,
+    as_churn_model,
     gradient_residual,
-    linear_form,
     train_churn_model,
 )
 from patronlens.plans.training import feature_importances as importances_of
@@ -493,7 +493,7 @@ def trained_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
         ]
         if name == LOGISTIC:
             train = result.split.where(~F.col("is_test"))
-            kept.append(round(gradient_residual(result.fitted[name], train, TrainingSettings()), 6) == 0)
+            kept.append(gradient_residual(result.fitted[name], train) < 1e-9 and result.fitted[name].passes <= 20)
         rows.append((line["position"], name, counts[False], counts[True], len(folds), kept.count(False)))
     return spark.createDataFrame(
         rows, "position int, model_type string, train_rows long, test_rows long, folds long, broken_promises long"
@@ -529,7 +529,7 @@ def trained_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     stored, result = _trained(spark, folder)
     store, tables = ModelStore(spark, new_path(spark, "models")), []
     for name, fitted in result.fitted.items():
-        model = scoring.ChurnModel(name, result.model.thresholds, linear_form(fitted), fitted)
+        model = as_churn_model(name, result.model.thresholds, fitted)
         store.publish(model)
         before = scoring.score_features(stored, model).select("user_id", F.col("churn_probability").alias("before"))
         after = scoring.score_features(stored, store.latest()).join(before, "user_id")

@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from patronlens import contract as C
@@ -78,19 +77,6 @@ def test_scoring_runs_no_python(features, forest):
         assert "Python" not in plan and "Exchange" not in plan
 
 
-def test_linear_form_equals_the_fitted_pipeline(features):
-    matrix = model_matrix(features, THRESHOLDS).withColumn("payment_method_count", F.lit(3.0))  # a constant input
-    inputs = with_class_weight(training.pipeline_inputs(matrix))
-    fitted = training.candidate_pipeline(training.LOGISTIC, 300, training.TrainingSettings()).fit(inputs)
-    linear = training.linear_form(fitted)
-    scored = fitted.transform(inputs).select(
-        vector_to_array("probability")[1].alias("a"),
-        linear.probability([F.col(f"_in_{name}") for name in C.MODEL_FEATURES]).alias("b"),
-    )
-    assert scored.agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0] < 1e-9
-    assert linear.weights[C.MODEL_FEATURES.index("payment_method_count")] == 0.0
-
-
 def test_sql_functions_and_view_equal_the_expression(spark, features):
     warehouse = Warehouse(spark, "scoring_test_", new_path(spark, "warehouse")).create()
     stored = warehouse.save(features.union(odd_rows(features)), "features", "user_features")
