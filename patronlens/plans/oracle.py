@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from patronlens import contract as C
 from patronlens.functions.draws import MODULUS, PRIME, STREAMS
-from patronlens.plans.queries import AS_OF, EVENT_LANDINGS, FIRST_EVENT_DAY, FIXED_MODEL, LANDING_DATES
+from patronlens.plans.queries import AS_OF, DRIFT_COLUMNS, EVENT_LANDINGS, FIRST_EVENT_DAY, FIXED_MODEL, LANDING_DATES
 from patronlens.sources.feature_state import BUCKETS
 
 PROFILES = """
@@ -23,6 +23,14 @@ USERS = f"""
     FROM ({PROFILES}) p JOIN customer c ON c.c_custkey = p.user_id JOIN nation n ON n.n_nationkey = c.c_nationkey
 """
 
+# order lines with segment, category and month
+SALES = f"""
+    SELECT u.customer_segment, nullif(split_part(p_type, ' ', 1), 'PROMO') AS category,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS month, l_extendedprice AS amount
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+         JOIN ({PROFILES}) u ON u.user_id = o_custkey
+"""
+
 TRANSACTIONS = """
     SELECT o_orderkey AS transaction_id, o_custkey AS user_id, o_totalprice AS total_amount,
            o_orderdate AS transaction_date, o_orderpriority AS payment_method
@@ -390,6 +398,59 @@ ORACLE: dict[str, str] = {
                           arg_max(o_totalprice, o_orderkey) AS newest_amount FROM orders GROUP BY 1, 2)
         SELECT b.*, n.newest_order, n.newest_date, n.newest_amount
         FROM bought b ASOF LEFT JOIN newest n ON b.user_id = n.user_id AND b.shipped >= n.newest_date""",
+    "overlapping_orders": """
+        WITH spans AS (
+            SELECT o_orderkey AS id, o_custkey AS user_id, least(any_value(o_orderdate), min(l_shipdate)) AS opened,
+                   greatest(any_value(o_orderdate), max(l_shipdate)) AS closed
+            FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)
+        SELECT a.user_id, a.id AS first_order, b.id AS second_order,
+               CAST(date_diff('day', CAST(greatest(a.opened, b.opened) AS DATE), CAST(least(a.closed, b.closed) AS DATE)) AS INTEGER)
+                   AS days_together
+        FROM spans a JOIN spans b ON a.user_id = b.user_id AND a.id < b.id AND a.opened <= b.closed AND b.opened <= a.closed""",
+    "sales_cube": f"""
+        SELECT customer_segment, category, month, CAST(grouping_id(customer_segment, category, month) AS BIGINT) AS grouping_id,
+               count(*) AS rows, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount, max(amount) AS largest
+        FROM ({SALES}) GROUP BY CUBE (customer_segment, category, month)""",
+    "sales_by_month_and_segment": f"""
+        SELECT month, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS all_amounts, """
+    + ", ".join(
+        f"CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (customer_segment = '{name}') AS DOUBLE) AS \"{name}\"" for name in C.SEGMENTS
+    )
+    + f" FROM ({SALES}) GROUP BY month",
+    "line_drift": " UNION ALL ".join(
+        f"""
+        SELECT * FROM (
+            WITH sides AS (SELECT {name} AS v, l_shipdate >= DATE '1998-01-01' AS later FROM lineitem),
+            sizes AS (SELECT count(*) FILTER (NOT later) AS a, count(*) FILTER (later) AS b FROM sides),
+            steps AS (SELECT v, sum(count(*) FILTER (NOT later)) OVER w AS m, sum(count(*) FILTER (later)) OVER w AS n
+                      FROM sides GROUP BY v WINDOW w AS (ORDER BY v)),
+            edges AS (SELECT unnest(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) AS e
+                      FROM sides WHERE NOT later),
+            bins AS (SELECT v, later, (SELECT count(*) FROM edges WHERE e < v) AS bin FROM sides),
+            shares AS (SELECT bin, greatest(count(*) FILTER (NOT later) / any_value(a), 1e-4) AS p,
+                              greatest(count(*) FILTER (later) / any_value(b), 1e-4) AS q FROM bins, sizes GROUP BY bin)
+            SELECT '{name}' AS column_name, a AS rows_before, b AS rows_now,
+                   round((SELECT max(abs(m / a - n / b)) FROM steps), 9) AS ks,
+                   round((SELECT sum((q - p) * ln(q / p)) FROM shares), 9) AS stability
+            FROM sizes)"""
+        for name in DRIFT_COLUMNS
+    ),
+    "reconciled_orders": f"""
+        WITH landed AS ({TRANSACTIONS}),
+        changed AS (SELECT * REPLACE (CASE WHEN transaction_id % 1999 <> 0 THEN payment_method END AS payment_method)
+                    FROM landed WHERE transaction_id % 997 <> 0),
+        stored AS (SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE transaction_id % 1499 = 0),
+        lost AS (SELECT *, 1 AS side FROM (SELECT * FROM landed EXCEPT ALL SELECT * FROM stored)
+                 UNION ALL SELECT *, 2 FROM (SELECT * FROM stored EXCEPT ALL SELECT * FROM landed)),
+        counted AS (
+            SELECT d.* EXCLUDE (side),
+                   (SELECT count(*) FROM landed l WHERE l.transaction_id = d.transaction_id
+                                                    AND l.payment_method IS NOT DISTINCT FROM d.payment_method) AS landed_rows,
+                   (SELECT count(*) FROM stored s WHERE s.transaction_id = d.transaction_id
+                                                    AND s.payment_method IS NOT DISTINCT FROM d.payment_method) AS stored_rows
+            FROM (SELECT DISTINCT * FROM lost) d)
+        SELECT *, CASE WHEN stored_rows = 0 THEN 'missing' WHEN landed_rows = 0 THEN 'extra' ELSE 'repeated' END AS kind
+        FROM counted""",
     "transaction_gaps": """
         WITH ordered AS (SELECT o_custkey AS user_id, date_diff('day', lag(CAST(o_orderdate AS DATE)) OVER
                                 (PARTITION BY o_custkey ORDER BY o_orderdate), CAST(o_orderdate AS DATE)) AS gap FROM orders)

@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 from patronlens import contract as C
 from patronlens.operators import (
     dataset,
+    drift,
     engineered,
     features,
     incremental,
+    intervals,
     joins,
     metrics,
     ordered,
     quality,
     reports,
+    rollups,
     scoring,
     sketches,
 )
@@ -43,6 +46,7 @@ from patronlens.sources import sql_functions, star
 from patronlens.sources.csv_files import read_csv, write_csv
 from patronlens.sources.feature_state import FeatureState, Fold
 from patronlens.sources.model_store import ModelStore
+from patronlens.sources.reconciliation import reconcile
 from patronlens.sources.warehouse import Warehouse, lower_case_columns
 from patronlens.streaming import activity, jobs
 
@@ -276,6 +280,68 @@ def transaction_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.gap_statistics(_transactions(spark, folder), "user_id", "transaction_date")
 
 
+def overlapping_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of orders of one customer that were open at once: from the order, or its first shipping, to its last."""
+    shipped = star.star_table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.min("l_shipdate").alias("first_shipped"), F.max("l_shipdate").alias("last_shipped")
+    )
+    orders = _transactions(spark, folder).withColumnRenamed("transaction_id", "order_id").join(shipped, "order_id")
+    opened, closed = F.least("transaction_date", "first_shipped"), F.greatest("transaction_date", "last_shipped")
+    spans = orders.select("order_id", "user_id", opened.alias("opened"), closed.alias("closed"))
+    pairs = intervals.overlap_join(spans, spans, ("opened", "closed"), ("opened", "closed"), ["user_id"])
+    both = F.least("left.closed", "right.closed")
+    return pairs.where("left.order_id < right.order_id").select(
+        F.col("left.user_id").alias("user_id"),
+        F.col("left.order_id").alias("first_order"),
+        F.col("right.order_id").alias("second_order"),
+        F.datediff(F.to_date(both), F.to_date(F.greatest("left.opened", "right.opened"))).alias("days_together"),
+    )
+
+
+# --- totals, drift, reconciliation -----------------------------------------------------------------
+
+CUBE = ["customer_segment", "category", "month"]
+
+
+def _finest_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per segment, category and month; a category named PROMO is a product without one."""
+    category = F.split_part("category", F.lit(" "), F.lit(1))
+    products = _products(spark, folder).select("product_id", F.nullif(category, F.lit("PROMO")).alias("category"))
+    users = _profiles(spark, folder).select("user_id", "customer_segment")
+    lines = joins.join_dimension(_lines(spark, folder), products, "product_id")
+    lines = joins.join_dimension(lines, users, "user_id").withColumn("month", F.to_date(F.trunc("transaction_date", "month")))
+    return written(rollups.finest_totals(lines, CUBE, "total_amount"), "finest-sales")
+
+
+def sales_cube(spark: SparkSession, folder: str) -> DataFrame:
+    return rollups.cube_totals(_finest_sales(spark, folder), CUBE)
+
+
+def sales_by_month_and_segment(spark: SparkSession, folder: str) -> DataFrame:
+    return rollups.pivoted_amounts(_finest_sales(spark, folder), "month", "customer_segment", list(C.SEGMENTS))
+
+
+DRIFT_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def line_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines shipped from 1998 on next to those before."""
+    lines = star.star_table(spark, folder, "lineitem")
+    later = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date")
+    return _rounded(drift.drift(lines.where(~later), lines.where(later), DRIFT_COLUMNS), ["ks", "stability"])
+
+
+def reconciled_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed files of transactions next to a stored table that lost some, has some twice, and changed the method of others."""
+    transactions = _transactions(spark, folder)
+    landing = new_path(spark, "landed-orders")
+    write_csv(transactions, landing)
+    number, method = F.col("transaction_id"), F.col("payment_method")
+    changed = transactions.where(number % 997 != 0).withColumn("payment_method", F.when(number % 1999 != 0, method))
+    stored = written(changed.unionAll(changed.where(number % 1499 == 0)), "stored-orders")
+    return reconcile(read_csv(spark, landing, transactions.schema), stored, ["transaction_id"])
+
+
 # --- streams with state, sketches --------------------------------------------------------------------
 
 FIRST_EVENT_DAY, EVENT_LANDINGS = dt.date(2024, 1, 1), 4  # of 8 days each, the last one open
@@ -698,6 +764,11 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sketched_thresholds": sketched_thresholds,
     "boosted_model_scores": boosted_model_scores,
     "last_order_before_shipping": last_order_before_shipping,
+    "overlapping_orders": overlapping_orders,
+    "sales_cube": sales_cube,
+    "sales_by_month_and_segment": sales_by_month_and_segment,
+    "line_drift": line_drift,
+    "reconciled_orders": reconciled_orders,
     "transaction_gaps": lambda s, d: _rounded(transaction_gaps(s, d), ["mean_gap"]),
 }
 
@@ -740,6 +811,10 @@ _WITH_TABLES = [
     "distinct_users_in_ranges",
     "sketched_thresholds",
     "boosted_model_scores",
+    "sales_cube",
+    "sales_by_month_and_segment",
+    "line_drift",
+    "reconciled_orders",
 ]
 
 
