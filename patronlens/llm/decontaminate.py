@@ -3,14 +3,16 @@
 Words are lower-cased (A-Z) runs of digits, letters and all characters beyond ASCII. A benchmark item gives its windows of ``WINDOW``
 consecutive words; an item with fewer words is one window. Each shard of documents (a bounded amount of text) gets a suffix array over
 its words; every suffix of every item is binary-searched in every shard, which gives all places where its first window occurs
-verbatim. Places that follow one another in document and item are one longer match. Affected documents can then be removed.
+verbatim. From each such place the longest verbatim match is found by binary search of a suffix array over the items, in steps
+of powers of two words; the items that share a window are never gone through for it. Affected documents can then be removed.
 
 Words that no item contains cannot be part of a match; they cut the text into stretches, and stretches shorter than the shortest window
 are left out of the suffix array. Nothing else is left out. Words are compared by a 64-bit hash.
 
-The items go to the tasks in blocks of about ``BLOCK_CHARS`` characters, each in a pass of its own over the documents and what was
-found so far, so a benchmark of any size is searched whole and a broadcast is bounded. Documents are never shuffled and no task holds
-more than a shard and a block.
+The items go to the tasks in blocks of about ``BLOCK_CHARS`` characters, so a benchmark of any size is searched whole and a broadcast is
+bounded. With one block documents are never shuffled. With more the documents are numbered and written once; each block reads ids and texts
+of that table and gives the documents with matches, which are put together by number. No task holds more than a shard and a block, and the item ids
+of documents leave a task ``IDS_IN_A_BATCH`` at a time, since many items may share a window with many documents.
 
 Defined cases: a null or empty text has no words, no hits and stays; an item of no words has no window; repeated documents each get
 their own result; items that share an id count once; a null item_id is written as an empty text; null doc_ids and further columns pass
@@ -21,10 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +37,8 @@ from patronlens.shared import written
 WINDOW = 10
 SHARD_BYTES = 8 << 20
 BLOCK_CHARS = 4_000_000
+IDS_IN_A_BATCH = 200_000  # or those of one document
+KEPT_IDS = 4_000_000  # of sets of items that several documents share
 # The bytes of a word after lower-casing; every byte of a character beyond ASCII is above 0x7F.
 WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 RESULT = ("n_words", "n_hit", "n_items", "item_ids", "longest_match", "spans")
@@ -44,16 +49,22 @@ class Suffixes:
     """The suffixes of a block of items, each cut to its first window; equal windows are kept once.
 
     ``vocabulary`` has the sorted hashes of all words; a word's number is its place there, counted from 1.
-    ``windows`` are rows of word numbers, 0 behind a shorter window; ``owners`` lists, window by window, the (item, place) that have it,
-    from ``first`` on.
+    ``windows`` are rows of word numbers, 0 behind a shorter window; ``held`` lists, window by window, the places in ``item_ids`` (sorted,
+    each once) of the items that have it, from ``first`` on. ``text`` are the words of all items, a 0 behind each, ``order`` its suffix array.
+    ``ranks[k]`` has the rank of the 2**k words from each place of the text on (0 behind its end) and ``pairs[k]`` the sorted pairs of ranks of
+    half that many words which they number from 1.
     """
 
     vocabulary: np.ndarray
     windows: np.ndarray
     lengths: np.ndarray
     first: np.ndarray
-    owners: np.ndarray
+    held: np.ndarray
     item_ids: list[str]
+    text: np.ndarray
+    order: np.ndarray
+    ranks: list[np.ndarray]
+    pairs: list[np.ndarray]
 
     @staticmethod
     def of(items: list[tuple[str, str]], window: int) -> Suffixes:
@@ -63,23 +74,79 @@ class Suffixes:
         vocabulary, numbers = np.unique(span_hashes(data, starts, ends), return_inverse=True)
         numbers = numbers.astype(np.int32) + 1
         bounds = per_text(starts, offsets)
+        item_ids = sorted({name for name, _ in items})
+        place = {name: i for i, name in enumerate(item_ids)}
         rows, owners = [], []
-        for item, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        for (name, _), a, b in zip(items, bounds[:-1], bounds[1:]):
             length = min(window, b - a)
             for i in range(a, b - length + 1 if length else a):
                 row = np.zeros(window, dtype=np.int32)
                 row[:length] = numbers[i : i + length]
                 rows.append(row)
-                owners.append((item, i - a))
+                owners.append(place[name])
+        text = np.insert(numbers, bounds[1:], 0)
+        order, ranks, pairs = doubled(text, int(np.diff(bounds).max(initial=0)))
         if not rows:
             nothing = np.zeros(0, dtype=np.int64)
-            return Suffixes(vocabulary, np.zeros((0, window), np.int32), nothing, np.zeros(1, np.int64), np.zeros((0, 2)), [])
+            return Suffixes(
+                vocabulary, np.zeros((0, window), np.int32), nothing, np.zeros(1, np.int64), nothing, [], text, order, ranks, pairs
+            )
         windows, which = np.unique(np.array(rows), axis=0, return_inverse=True)
-        which = which.reshape(-1)
-        order = np.argsort(which, kind="stable")
-        first = np.searchsorted(which[order], np.arange(len(windows) + 1))
+        held = np.unique(which.reshape(-1) * len(item_ids) + np.array(owners))
+        first = np.searchsorted(held, np.arange(len(windows) + 1) * len(item_ids))
         lengths = (windows > 0).sum(axis=1)
-        return Suffixes(vocabulary, windows, lengths, first, np.array(owners)[order], [name for name, _ in items])
+        return Suffixes(
+            vocabulary, windows, lengths, first, (held % len(item_ids)).astype(np.int32), item_ids, text, order, ranks, pairs
+        )
+
+
+def paired(ranks: np.ndarray, half: int, base: int) -> np.ndarray:
+    behind = np.zeros(len(ranks), dtype=np.int64)
+    behind[: max(len(ranks) - half, 0)] = ranks[half:]
+    return ranks.astype(np.int64) * base + behind
+
+
+def doubled(text: np.ndarray, longest: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The suffix array of the items' words to the depth of the longest item at least, and its ranks and pairs by powers of two."""
+    ranks, pairs = [text], [np.zeros(0, dtype=np.int64)]
+    while 1 << (len(ranks) - 1) <= longest:
+        keys, places = np.unique(paired(ranks[-1], 1 << (len(ranks) - 1), len(text) + 2), return_inverse=True)
+        ranks.append(places.astype(np.int32) + 1)
+        pairs.append(keys)
+    return np.argsort(ranks[-1], kind="stable"), ranks, pairs
+
+
+def match_lengths(words: np.ndarray, at: np.ndarray, suffixes: Suffixes) -> np.ndarray:
+    """The most words from each place ``at`` of ``words`` (0 between stretches) that some item has verbatim."""
+    base = len(suffixes.text) + 2
+    known = [words]
+    for k, keys in enumerate(suffixes.pairs[1:]):
+        wanted = paired(known[-1], 1 << k, base)
+        near = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        whole = (wanted >= base) & (wanted % base > 0) & (keys[near] == wanted)  # both halves are known
+        known.append(np.where(whole, near + 1, 0).astype(np.int32))
+    length = np.zeros(len(at), dtype=np.int64)
+    low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), len(suffixes.order), dtype=np.int64)
+    for k in reversed(range(len(known))):
+        there = at + length
+        wanted = np.where(there < len(words), known[k][np.minimum(there, len(words) - 1)], 0)
+
+        def bound(after: bool) -> np.ndarray:
+            a, b = low.copy(), high.copy()
+            while (live := np.flatnonzero(a < b)).size:
+                middle = (a[live] + b[live]) // 2
+                place = suffixes.order[middle] + length[live]
+                rank = np.where(place < len(suffixes.text), suffixes.ranks[k][np.minimum(place, len(suffixes.text) - 1)], 0)
+                right = rank <= wanted[live] if after else rank < wanted[live]
+                a[live[right]] = middle[right] + 1
+                b[live[~right]] = middle[~right]
+            return a
+
+        start, end = bound(False), bound(True)
+        goes_on = (wanted > 0) & (start < end)
+        low, high = np.where(goes_on, start, low), np.where(goes_on, end, high)
+        length += np.where(goes_on, 1 << k, 0)
+    return length
 
 
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
@@ -152,42 +219,56 @@ def shard_matches(numbers: np.ndarray, bounds: np.ndarray, suffixes: Suffixes) -
     return places[order[np.repeat(low, counts) + inner]], which
 
 
-def longest_runs(document: np.ndarray, place: np.ndarray, which: np.ndarray, suffixes: Suffixes, longest: np.ndarray) -> None:
-    """Raise ``longest`` (by document) to the longest verbatim match in words: places and item places that go on together."""
-    counts = (suffixes.first[1:] - suffixes.first[:-1])[which]
-    inner = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-    owner = suffixes.owners[np.repeat(suffixes.first[which], counts) + inner]
-    place, document = np.repeat(place, counts), np.repeat(document, counts)
-    length = np.repeat(suffixes.lengths[which], counts)
-    order = np.lexsort((place, place - owner[:, 1], owner[:, 0]))
-    place, document, length, owner = place[order], document[order], length[order], owner[order]
-    follows = (
-        (place[1:] == place[:-1] + 1)
-        & (owner[1:, 0] == owner[:-1, 0])
-        & (owner[1:, 1] == owner[:-1, 1] + 1)
-        & (document[1:] == document[:-1])
-    )
-    heads = np.flatnonzero(np.concatenate([[True], ~follows]))
-    steps = np.diff(np.append(heads, len(place))) - 1
-    np.maximum.at(longest, document[heads], length[heads] + steps)
-
-
-def merged_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The union of spans sorted by start."""
-    reach = np.maximum.accumulate(ends)
-    heads = np.concatenate([[True], starts[1:] > reach[:-1]])
-    return starts[heads], np.append(reach[:-1][heads[1:]], reach[-1])
-
-
-def scan_texts(texts: pa.Array, suffixes: Suffixes) -> tuple[np.ndarray, np.ndarray, dict[int, list], dict[int, set[str]]]:
-    """Of each text: words and longest match; by number of the text, where there are any: merged spans of words, and item ids."""
+def longest_matches(numbers: np.ndarray, bounds: np.ndarray, place: np.ndarray, which: np.ndarray, suffixes: Suffixes) -> np.ndarray:
+    """By document, the longest verbatim match in words. All words of a match stand in windows that were found, at ``place``."""
+    document = np.searchsorted(bounds, place, side="right") - 1
+    longest = np.zeros(len(bounds) - 1, dtype=np.int64)
+    np.maximum.at(longest, document, suffixes.lengths[which])  # an item shorter than a window has no longer match
+    full = np.unique(place[suffixes.lengths[which] == suffixes.windows.shape[1]])
+    if not len(full):
+        return longest
+    inside = np.zeros(len(numbers) + 1, dtype=np.int32)
+    np.add.at(inside, full, 1)
+    np.add.at(inside, full + suffixes.windows.shape[1], -1)
+    covered = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+    starts = np.zeros(len(numbers) + 1, dtype=bool)
+    starts[bounds] = True
+    cut = np.concatenate([[False], (np.diff(covered) > 1) | starts[covered[1:]]])
+    at = np.arange(len(covered)) + np.cumsum(cut)
+    words = np.zeros(at[-1] + 2, dtype=np.int32)
+    words[at] = numbers[covered]
+    lengths = match_lengths(words, at[np.searchsorted(covered, full)], suffixes)
+    np.maximum.at(longest, np.searchsorted(bounds, full, side="right") - 1, lengths)
+    return longest
+
+
+class ItemSets:
+    """The items that have any of some windows; sets are kept while documents are likely to share them."""
+
+    def __init__(self, suffixes: Suffixes) -> None:
+        self.suffixes, self.kept, self.size = suffixes, {}, 0
+
+    def of(self, windows: np.ndarray) -> np.ndarray:
+        key = windows.tobytes()
+        if key not in self.kept:
+            first = self.suffixes.first
+            items = np.unique(np.concatenate([self.suffixes.held[first[w] : first[w + 1]] for w in windows.tolist()]))
+            if self.size + len(items) > KEPT_IDS:
+                self.kept, self.size = {}, 0
+            self.kept[key] = items
+            self.size += len(items)
+        return self.kept[key]
+
+
+def scan_texts(texts: pa.Array, suffixes: Suffixes) -> tuple[np.ndarray, np.ndarray, dict[int, list], dict[int, np.ndarray]]:
+    """Of each text: words and longest match; by number of the text, where there are any: merged spans of words, and different windows."""
     data, offsets = text_bytes(texts)
     data = LOWER[data]
     starts, ends = spans_of(data, offsets, WORD)
     bounds = per_text(starts, offsets)
     longest = np.zeros(len(texts), dtype=np.int64)
     spans: dict[int, list] = {}
-    items: dict[int, set[str]] = {}
+    windows: dict[int, np.ndarray] = {}
     if len(suffixes.vocabulary) and len(starts):
         hashes = span_hashes(data, starts, ends)
         near = np.minimum(np.searchsorted(suffixes.vocabulary, hashes), len(suffixes.vocabulary) - 1)
@@ -197,16 +278,14 @@ def scan_texts(texts: pa.Array, suffixes: Suffixes) -> tuple[np.ndarray, np.ndar
             order = np.argsort(place, kind="stable")
             place, which = place[order], which[order]
             document = np.searchsorted(bounds, place, side="right") - 1
-            longest_runs(document, place, which, suffixes, longest)
-            for d, w in np.unique(np.stack([document, which], axis=1), axis=0).tolist():
-                owners = suffixes.owners[suffixes.first[w] : suffixes.first[w + 1], 0].tolist()
-                items.setdefault(d, set()).update(suffixes.item_ids[item] for item in owners)
+            longest = longest_matches(numbers, bounds, place, which, suffixes)
             cuts = [0, *(np.flatnonzero(np.diff(document)) + 1).tolist(), len(place)]
             for a, b in zip(cuts, cuts[1:]):
                 d = int(document[a])
                 at = place[a:b] - bounds[d]
                 spans[d] = merged(list(zip(at.tolist(), (at + suffixes.lengths[which[a:b]]).tolist())))
-    return np.diff(bounds), longest, spans, items
+                windows[d] = np.unique(which[a:b])
+    return np.diff(bounds), longest, spans, windows
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -220,55 +299,100 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return union
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_chars: int) -> Iterator[Suffixes]:
-    """The items, brought to the driver block by block; the number of blocks follows the measured size of the benchmark."""
+def item_blocks(benchmark: DataFrame, window: int, block_chars: int) -> tuple[int, Iterator[Suffixes]]:
+    """The number of blocks, which follows the measured size of the benchmark, and the items, brought to the driver block by block."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").where(
         F.length("text") > 0
     )
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(chars // block_chars) + 1
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for i in range(blocks):
-        yield Suffixes.of([tuple(row) for row in items.where(part == i).distinct().collect()], window)
+    return blocks, (Suffixes.of([tuple(row) for row in items.where(part == i).distinct().collect()], window) for i in range(blocks))
 
 
-FOUND = "n_words long, item_ids array<string>, longest_match long, spans array<struct<start: long, end: long>>"
-ARROW = (
-    pa.int64(),
-    pa.list_(pa.string()),
-    pa.int64(),
-    pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
-)
-PARTS = ("row", "text", "found")
+FOUND = "found struct<n_words: long, item_ids: array<string>, longest_match: long, spans: array<struct<start: long, end: long>>>"
+SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
-def _pass(rows: DataFrame, suffixes: Suffixes, shard_bytes: int) -> DataFrame:
-    """``rows`` (row, text, found) with the matches of one block of items added to ``found``."""
+def _listed(lengths: list[int], values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), values)
+
+
+def _matches(rows: DataFrame, suffixes: Suffixes, shard_bytes: int, only_found: bool) -> DataFrame:
+    """The first column of ``rows`` (something, text) and ``found``, the matches of one block of items; of all rows or those that have any."""
     block = rows.sparkSession.sparkContext.broadcast(tuple(vars(suffixes).values()))  # plain values
-    kind = pa.struct(list(zip(("n_words", "item_ids", "longest_match", "spans"), ARROW)))
+    first = rows.schema[0]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suffixes = Suffixes(*block.value)
-        for batch in slices_by_bytes(batches, 1, shard_bytes):
-            words, longest, spans, items = scan_texts(batch.column(1), suffixes)
-            before = batch.column(2).to_pylist()
-            found = []
-            for d, old in enumerate(before):
-                old = old or {"item_ids": [], "longest_match": 0, "spans": []}
-                union = merged([(x["start"], x["end"]) for x in old["spans"]] + spans.get(d, []))
-                found.append(
-                    {
-                        "n_words": int(words[d]),
-                        "item_ids": sorted(items.get(d, set()).union(old["item_ids"])),
-                        "longest_match": max(int(longest[d]), old["longest_match"]),
-                        "spans": [{"start": a, "end": b} for a, b in union],
-                    }
-                )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, kind)], names=list(PARTS)
+        names, sets = pa.array(suffixes.item_ids, pa.string()), ItemSets(suffixes)
+        nothing = np.zeros(0, dtype=np.int32)
+
+        def batch_of(batch: pa.RecordBatch, at: list[int], ids: list[np.ndarray], words, longest, spans) -> pa.RecordBatch:
+            own = [spans.get(d, []) for d in at]
+            pairs = np.array([span for some in own for span in some], dtype=np.int64).reshape(-1, 2)
+            found = pa.StructArray.from_arrays(
+                [
+                    pa.array(words[at], pa.int64()),
+                    _listed([len(some) for some in ids], names.take(pa.array(np.concatenate([nothing, *ids]), pa.int32()))),
+                    pa.array(longest[at], pa.int64()),
+                    _listed([len(some) for some in own], pa.StructArray.from_arrays([pairs[:, 0], pairs[:, 1]], fields=list(SPAN))),
+                ],
+                names=["n_words", "item_ids", "longest_match", "spans"],
             )
+            return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), found], names=[first.name, "found"])
 
-    return rows.mapInArrow(scan, rows.schema)
+        for batch in slices_by_bytes(batches, 1, shard_bytes):
+            words, longest, spans, windows = scan_texts(batch.column(1), suffixes)
+            at, ids, size = [], [], 0
+            for d in sorted(spans) if only_found else range(batch.num_rows):
+                items = sets.of(windows[d]) if d in windows else nothing
+                if at and size + len(items) > IDS_IN_A_BATCH:
+                    yield batch_of(batch, at, ids, words, longest, spans)
+                    at, ids, size = [], [], 0
+                at.append(d)
+                ids.append(items)
+                size += len(items)
+            if at:
+                yield batch_of(batch, at, ids, words, longest, spans)
+
+    return rows.mapInArrow(scan, T.StructType([first, *T.StructType.fromDDL(FOUND)]))
+
+
+def _united(spans: Column) -> Column:
+    """The union of an array of spans, sorted."""
+    nothing = F.array().cast("array<struct<start: long, end: long>>")
+    spans = F.array_sort(spans)
+
+    def add(state: Column, span: Column) -> Column:
+        last = state["last"]
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        reaches = span["start"] <= last["end"]
+        return F.struct(
+            F.when(reaches, state["done"]).otherwise(F.array_append(state["done"], last)).alias("done"),
+            F.when(reaches, joined).otherwise(span).alias("last"),
+        )
+
+    first = F.get(spans, 0)
+    state = F.struct(nothing.alias("done"), first.alias("last"))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, state, add, lambda s: F.array_append(s["done"], s["last"]))).otherwise(nothing)
+
+
+def _in_blocks(rows: DataFrame, blocks: Iterator[Suffixes], shard_bytes: int) -> DataFrame:
+    """(row, found) for several blocks: the rows are numbered and written once, and read by each block."""
+    numbered = written(rows.select(F.monotonically_increasing_id().alias("number"), "row", "text"), "decontaminated")
+    found = []
+    for i, suffixes in enumerate(blocks):  # one block is on the driver at a time
+        found.append(written(_matches(numbered.select("number", "text"), suffixes, shard_bytes, i > 0), "matches"))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.item_ids"))))
+    every = reduce(DataFrame.unionAll, found).groupBy("number").agg(
+        F.max("found.n_words").alias("n_words"),
+        ids.alias("item_ids"),
+        F.max("found.longest_match").alias("longest_match"),
+        F.flatten(F.collect_list("found.spans")).alias("spans"),
+    )
+    together = F.struct("n_words", "item_ids", "longest_match", _united(F.col("spans")).alias("spans")).alias("found")
+    return numbered.select("number", "row").join(every.select("number", together), "number").select("row", "found")
 
 
 def find_contamination(
@@ -283,12 +407,13 @@ def find_contamination(
     item_ids (sorted), longest_match (in words) and spans (merged, in words)."""
     carry = [c for c in (docs.columns if carry is None else carry) if c not in RESULT]
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row") if carry else F.struct(F.lit(0)).alias("row"),
-        F.col("text"),
-        F.lit(None).cast(T.StructType.fromDDL(FOUND)).alias("found"),
+        F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row") if carry else F.struct(F.lit(0)).alias("row"), F.col("text")
     )
-    for i, suffixes in enumerate(item_blocks(benchmark, window, block_chars)):
-        rows = _pass(rows if i == 0 else written(rows, "decontaminated"), suffixes, shard_bytes)
+    count, blocks = item_blocks(benchmark, window, block_chars)
+    if count == 1:
+        rows = _matches(rows, next(blocks), shard_bytes, False)
+    else:
+        rows = _in_blocks(rows, blocks, shard_bytes)
     hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
     return rows.select(
         *(F.col(f"row.`{c}`") for c in carry),

@@ -86,6 +86,30 @@ def test_awkward_rows(spark):
     assert decontaminate(df.limit(0), benchmark).collect() == []
 
 
+@pytest.mark.parametrize("options", [{}, {"block_chars": 20_000}])
+def test_items_that_share_an_instruction(spark, options):
+    shared = "please read the passage below with care and then answer the question in words"
+    items = [(i, f"{shared} topic{i} detail{i}") for i in range(3000)]
+    texts = [f"intro{i} {shared} topic{i} other" for i in range(300)] + ["nothing here"]
+    rows = find_contamination(documents(spark, list(enumerate(texts))).repartition(2), spark.createDataFrame(items, "item_id long, text string"), **options)
+    rows = {r.doc_id: r for r in rows.collect()}
+    every = sorted(str(i) for i in range(3000))
+    for i in range(300):
+        r = rows[i]
+        assert (r.n_hit, r.longest_match, [tuple(s) for s in r.spans], r.item_ids == every) == (15, 15, [(1, 16)], True)
+    assert rows[300].item_ids == [] and rows[300].spans == []
+
+
+def test_long_copies_and_repeats(spark):
+    draw = random.Random(8)
+    long = " ".join(draw.choice("abc") + str(draw.randrange(3)) for _ in range(700))
+    again = " ".join(["la"] * 60)
+    texts = [long, "x " + long[9:-7] + " y", again, again + " la la", f"{long} {long}", " ".join(["la"] * 12)]
+    items = [(1, long), (2, again), (3, "la la la")]
+    for options in ({}, {"block_chars": 1500}):
+        assert found(spark, texts, items, **options) == brute(texts, items, 10)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 50, 300])
 def test_suffix_array(n):
     draw = np.random.default_rng(n)
