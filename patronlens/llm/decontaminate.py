@@ -21,7 +21,7 @@ through, those named like a result are replaced; an empty benchmark hits nothing
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,6 +38,7 @@ WINDOW = 10
 SHARD_BYTES = 8 << 20
 BLOCK_CHARS = 4_000_000
 IDS_IN_A_BATCH = 200_000  # or those of one document
+JOINED = 8  # tables of matches that are joined in one step
 KEPT_IDS = 4_000_000  # of sets of items that several documents share
 # The bytes of a word after lower-casing; every byte of a character beyond ASCII is above 0x7F.
 WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
@@ -384,15 +385,26 @@ def _in_blocks(rows: DataFrame, blocks: Iterator[Suffixes], shard_bytes: int) ->
     found = []
     for i, suffixes in enumerate(blocks):  # one block is on the driver at a time
         found.append(written(_matches(numbered.select("number", "text"), suffixes, shard_bytes, i > 0), "matches"))
-    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.item_ids"))))
-    every = reduce(DataFrame.unionAll, found).groupBy("number").agg(
-        F.max("found.n_words").alias("n_words"),
-        ids.alias("item_ids"),
-        F.max("found.longest_match").alias("longest_match"),
-        F.flatten(F.collect_list("found.spans")).alias("spans"),
+    while len(found) > JOINED:
+        found = [written(reduce(_both, found[i : i + JOINED]), "matches") for i in range(0, len(found), JOINED)]
+    return numbered.select("number", "row").join(reduce(_both, found).hint("merge"), "number").select("row", "found")
+
+
+def _both(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The matches of two tables (number, found). Sorted and joined row by row, since a document may have any number of items."""
+    a, b = a.select("number", F.col("found").alias("a")), b.select("number", F.col("found").alias("b"))
+
+    def all_of(name: str, put_together: Callable[[Column, Column], Column]) -> Column:
+        x, y = F.col(f"a.{name}"), F.col(f"b.{name}")
+        return F.coalesce(put_together(x, y), x, y)
+
+    together = F.struct(
+        F.coalesce("a.n_words", "b.n_words").alias("n_words"),
+        all_of("item_ids", lambda x, y: F.array_sort(F.array_union(x, y))).alias("item_ids"),
+        F.greatest("a.longest_match", "b.longest_match").alias("longest_match"),
+        all_of("spans", lambda x, y: _united(F.concat(x, y))).alias("spans"),
     )
-    together = F.struct("n_words", "item_ids", "longest_match", _united(F.col("spans")).alias("spans")).alias("found")
-    return numbered.select("number", "row").join(every.select("number", together), "number").select("row", "found")
+    return a.join(b.hint("merge"), "number", "full").select("number", together.alias("found"))
 
 
 def find_contamination(
