@@ -3,11 +3,11 @@
 Canonical form: lines that only state a copyright go, letters become lower case, everything but letters and digits becomes one blank,
 and words with several spellings take one. Both a whole document and each of its lines count as an entire text; the digest of either
 is joined with the digests of the known licences. A notice that fills a line of a larger document is thus found too, but never part of
-a line.
+a line. The lines of a text may be wrapped anywhere: only a line that states a copyright is left out, never one that begins with the word.
 
 Known licences are a table (license_id, text) of any size; ``notices`` has common notices and whole licences. Only digests are shuffled and joined.
 
-Defined cases: null and empty texts, and texts without a letter or digit, have no digest and no licence; several ids for one digest are
+Defined cases: texts of any length are taken whole, each by one row of a task; null and empty texts, and texts without a letter or digit, have no digest and no licence; several ids for one digest are
 all given; repeated rows are each given their licences; a known text of null is ignored; further columns pass through (those named
 like a result are replaced); empty tables give empty tables, or no licences.
 """
@@ -35,7 +35,13 @@ SPELLINGS = (
 # Public notices by which texts name their licence, and whole licences.
 NOTICES = known_texts()
 
-COPYRIGHT = r"^[^\p{L}\p{N}]*(?:copyright|copr|\(c\)|©|all rights reserved)(?:[^\p{L}].*)?$"
+# A line that states a copyright: the word with a sign, a year, room for one or "by" behind it; the sign with a year; the reservation alone. A
+# line that merely begins with the word is part of the licence, as where a text is wrapped before "copyright notice".
+_YEAR = r"(?:19|20)\d\d|[\[<{](?:yyyy|year)"
+COPYRIGHT = (
+    r"^[^\p{L}\p{N}]*(?:©|\(c\)[^\p{L}\p{N}]*(?:" + _YEAR + r")|(?:copyright|copr)[^\p{L}\p{N}]*(?:\(c\)|©|" + _YEAR
+    + r"|by(?:[^\p{L}\p{N}]|$))|all rights reserved[^\p{L}\p{N}]*$)"
+)
 RESULT = ("digest", "licenses", "license_lines")
 BROADCAST_DIGESTS = 100_000  # known digests up to this number (some 100 bytes each) go to every task; more are joined by shuffle
 
@@ -81,7 +87,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame, carry: list[str] | None = N
     if digests.count() <= BROADCAST_DIGESTS:
         digests = F.broadcast(digests)
     document = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("document")
-    parts = docs.select(document, canonical_lines(F.col("text")).alias("lines")).where(F.size("lines") > 0)
+    parts = docs.select(document, canonical_lines(F.col("text")).alias("lines"))
     whole = F.struct(F.lit(0).alias("line"), digest(F.col("lines")).alias("digest"))
     each = F.transform("lines", lambda line: F.struct(F.lit(1).alias("line"), F.sha2(line, 256).alias("digest")))
     found = (

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from patronlens.llm import known_licenses, licenses
 from tests.llm.samples import AWKWARD, documents
@@ -81,3 +82,29 @@ def test_whole_common_licences(spark):
     for i, name in enumerate(names):
         assert got[i] == got[100 + i] == got[200 + i] == ([name], 0) and got[300 + i][0] == []
     assert got[400] == (["MIT"], 0) and got[401] == (["Apache-2.0"], 0)
+
+
+OWN_STATEMENT = {"GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1"}  # state a copyright inside a paragraph
+
+
+def rewrapped(text, width):
+    """Each paragraph and list item filled to a width."""
+    return "\n".join(textwrap.fill(line.strip(), width, break_long_words=False, break_on_hyphens=False) for line in known_licenses.paragraphs(text).split("\n"))
+
+
+def test_whole_licences_wrapped_anywhere(spark):
+    texts = {name: text for name, text in known_licenses.whole_texts().items() if name not in OWN_STATEMENT}
+    cases = [(name, width) for name in sorted(texts) for width in range(60, 121, 1 if len(texts[name]) < 4000 else 6)]
+    got = found_in(spark, [(i, rewrapped(texts[name], width)) for i, (name, width) in enumerate(cases)])
+    assert [case for i, case in enumerate(cases) if got[i][0] != [case[0]]] == []
+
+
+def test_lines_that_state_a_copyright(spark):
+    stated = ["Copyright (c) 2020 Us", "copyright 1999-2001, us", "Copyright by us", " * © us", "(C) 2001 us", "Copyright [yyyy] [name]", "ALL RIGHTS RESERVED."]
+    kept = ["copyright notice and this", "COPYRIGHT HOLDERS BE LIABLE", "(c) You must retain", "copyright owner or by an individual", "copyright.", "all rights reserved by law"]
+    rows = list(enumerate(["some words", *(f"{line}\nsome words" for line in stated + kept)]))
+    known = spark.createDataFrame([("K", "Some words.")], "license_id string, text string")
+    got = {r.doc_id: (r.digest, r.license_lines) for r in licenses.scan_licenses(documents(spark, rows), known).collect()}
+    same = [got[i + 1][0] == got[0][0] for i in range(len(stated + kept))]
+    assert same == [True] * len(stated) + [False] * len(kept)
+    assert {lines for _, lines in got.values()} == {1}
