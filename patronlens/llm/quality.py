@@ -148,8 +148,10 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
         share = known.agg(F.avg("quality")).first()[0]
         share = 0.5 if share is None else min(max(share, 1e-6), 1 - 1e-6)
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
-    rows = sample.where("half = 1").select(F.struct("quality").alias("row"), "text")
-    scored = sorted(_with_margins(rows, *contents).select("margin", "row.quality").limit(4 * CALIBRATION).collect())
+    rows = sample.where("half = 1").select(F.struct("quality", "order").alias("row"), "text")
+    margins = _with_margins(rows, *contents).select("margin", "row.quality", "row.order")
+    # repeated ids give several texts each; at most four times the sample comes to the driver, the same rows in every run
+    scored = sorted(margins.orderBy("order", "margin", "quality").limit(4 * CALIBRATION).select("margin", "quality").collect())
     x, y = np.array([row.margin for row in scored]), np.array([row.quality for row in scored], dtype=float)
     if len(set(y.tolist())) < 2:
         return Model(*contents, 1.0, 0.0)

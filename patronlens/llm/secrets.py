@@ -15,6 +15,7 @@ scan the same blob at the same time may both add it; the ledger is read distinct
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -53,7 +54,14 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18, r"AKIA[A-Z0-9]{14}"),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16, r"[0-9a-f]{16}"),
 )
-RULES_VERSION = "base-1"
+
+
+def version_of(rules: tuple[Rule, ...]) -> str:
+    """Follows from the rules, so a changed rule never takes the findings of the old one from the ledger."""
+    return hashlib.sha256(repr(rules).encode()).hexdigest()
+
+
+RULES_VERSION = version_of(RULES)
 
 
 def blob_id(text: Column) -> Column:
@@ -135,11 +143,12 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str = RULES_VERSION) -> None:
+def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str | None = None) -> None:
     """Add to the ledger the findings of every blob of ``docs`` that it lacks for this version of the rules.
 
     Equal texts are combined inside each task before they are shuffled, so a text that many paths share is scanned once.
     """
+    version = version or version_of(rules)
     blobs = (
         docs.select(blob_id(F.col("text")).alias("blob_id"), F.coalesce("text", F.lit("")).alias("text"))
         .groupBy("blob_id")
@@ -153,9 +162,10 @@ def scan_unseen(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, v
 
 
 def scan_secrets(
-    docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str = RULES_VERSION
+    docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, version: str | None = None
 ) -> DataFrame:
     """``docs`` with blob_id and findings; ``ledger`` is a folder that later runs go on using."""
+    version = version or version_of(rules)
     scan_unseen(docs, ledger, rules, version)
     known = (
         read_ledger(docs.sparkSession, ledger)

@@ -1,5 +1,6 @@
 import random
 import re
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -84,3 +85,12 @@ def test_awkward_rows(spark, tmp_path):
 def test_no_python_in_the_plan(spark, tmp_path, capsys):
     secrets.scan_secrets(documents(spark, [(1, "a")]), ledger(tmp_path)).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_a_changed_rule_has_another_version(spark, tmp_path):
+    ledger = f"file://{tmp_path}/ledger"
+    df = documents(spark, [(1, "AKIA" + "A" * 14), (2, "0123456789abcdef")])
+    count = lambda rules: sum(len(r.findings) for r in secrets.scan_secrets(df, ledger, rules).collect())
+    assert count(secrets.RULES) == 2
+    stricter = tuple(replace(rule, pattern=r"[0-9a-f]{20,}") if rule.kind == "hex" else rule for rule in secrets.RULES)
+    assert secrets.version_of(stricter) != secrets.RULES_VERSION and count(stricter) == 1 and count(secrets.RULES) == 2
