@@ -4,8 +4,10 @@ A conversation is rendered whole, turn after turn: ``<|im_start|>`` role ``<|im_
 markers are special tokens, so no token crosses the border of a text. Inside roles and texts every ``<|`` gets a backslash behind its
 ``<``, one more than it has, so markers in a text are ordinary text there and come back when one backslash is taken away again.
 
-The rendered conversation is encoded once, with the offsets of each token. The spans of the assistant's texts and those of the tokens are
-both sorted; a binary search for each end of a span gives the tokens that it covers, and these make the loss mask.
+The rendered conversation is encoded once, with the offsets of each token: tokens follow each other without a gap, so the sums of their
+lengths in bytes are where they end. The spans of the assistant's texts and those of the tokens are both sorted; a binary search for each
+end of a span gives the tokens that it covers, and these make the loss mask. The ids are those of the ``tokenizers`` library with the
+markers as special tokens; its vocabulary is merged by rank, as for packing, and tests compare ids and offsets.
 
 Rows are dealt out by conversation and sorted by the JVM; a task reads them as a stream and holds one conversation at a time.
 
@@ -18,16 +20,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from tokenizers import AddedToken, Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
-from patronlens.llm.tokens import load
+from patronlens.llm.tokens import Encoder, load, segments
 
-START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
+START, SEPARATOR, END = MARKERS = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 LEARNED = "assistant"
 TO_ESCAPE = re.compile(r"<(\\*)\|")
 ESCAPED = re.compile(r"<\\(\\*)\|")
@@ -62,14 +66,44 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def chat_tokenizer(path: str) -> Tokenizer:
-    """The tokenizer with the markers as further special tokens; offsets keep the blank in front of a word."""
+    """The tokenizer with the markers as further special tokens."""
     tokenizer = load(path)
     tokenizer.encode_special_tokens = False
-    tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, trim_offsets=False)
-    tokenizer.add_special_tokens([AddedToken(x, special=True, normalized=False) for x in (START, SEPARATOR, END)])
+    tokenizer.add_special_tokens([AddedToken(x, special=True, normalized=False) for x in MARKERS])
     return tokenizer
 
 
+class ChatEncoder:
+    """Ids of rendered conversations, as ``chat_tokenizer`` gives them, and the bytes that each stands for."""
+
+    def __init__(self, path: str):
+        marked = chat_tokenizer(path)
+        markers = {x: marked.token_to_id(x) for x in MARKERS}
+        ranks = Encoder(path).fast._mergeable_ranks
+        self.fast = tiktoken.Encoding("chat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=markers)
+        self.widths = np.zeros(self.fast.max_token_value + 1, dtype=np.int64)
+        for piece, number in ranks.items():
+            self.widths[number] = len(piece)
+        for marker, number in markers.items():
+            self.widths[number] = len(marker)
+
+    def encode(self, formatted: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and (start, end) of each in bytes."""
+        parts = [self.fast.encode_to_numpy(part, allowed_special="all") for part in segments(formatted)]
+        ids = np.concatenate(parts).astype(np.int32)
+        ends = np.cumsum(self.widths[ids])
+        return ids, np.stack([ends - self.widths[ids], ends], axis=1)
+
+    def decode(self, ids: np.ndarray) -> str:
+        return self.fast.decode_bytes(ids.tolist()).decode()
+
+
+@lru_cache(maxsize=2)
+def chat_encoder(path: str) -> ChatEncoder:
+    """One encoder per Python worker, which serves many tasks."""
+    return ChatEncoder(path)
+
+
 def covered_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     """Which tokens lie in a span; ``offsets`` (start, end) and ``spans`` are sorted. A character of several tokens takes them all."""
     mask = np.zeros(len(offsets) + 1, dtype=np.int64)
@@ -81,27 +115,33 @@ def covered_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> np.ndar
     return np.cumsum(mask[:-1]) > 0
 
 
-def masked_text(tokenizer: Tokenizer, ids: list[int], mask: list[bool]) -> list[str]:
+def masked_text(encoder: ChatEncoder, ids: np.ndarray, mask: np.ndarray) -> list[str]:
     """The texts of the tokens under the mask, one for each unbroken run."""
     edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
-    return [tokenizer.decode(ids[a:b], skip_special_tokens=False) for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist())]
+    return [encoder.decode(ids[a:b]) for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist())]
 
 
-def format_turns(tokenizer: Tokenizer, turns: list[tuple[str, str]]) -> tuple:
+def format_turns(encoder: ChatEncoder, turns: list[tuple[str, str]]) -> tuple[str, int, np.ndarray, np.ndarray, np.ndarray]:
+    """The rendered turns, their number, ids, mask, and the spans of what is learned from, in characters."""
     formatted, spans = render(turns)
-    encoding = tokenizer.encode(formatted, add_special_tokens=False)
-    offsets = np.array(encoding.offsets, dtype=np.int64).reshape(-1, 2)
-    mask = covered_tokens(offsets, spans)
-    return formatted, len(turns), encoding.ids, mask.tolist(), [{"start": a, "end": b} for a, b in spans]
+    spans = np.array(spans, dtype=np.int64).reshape(-1, 2)
+    ids, offsets = encoder.encode(formatted)
+    in_bytes = spans
+    if not formatted.isascii():
+        data = np.frombuffer(formatted.encode(), dtype=np.uint8)
+        in_bytes = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))[spans]
+    return formatted, len(turns), ids, covered_tokens(offsets, in_bytes), spans
+
+
+def listed(arrays: list[np.ndarray], values: pa.Array) -> pa.ListArray:
+    """A list for each array, of ``values``, which are those of all arrays one after another."""
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), values)
 
 
-_TYPES = (
-    pa.string(),
-    pa.int64(),
-    pa.list_(pa.int32()),
-    pa.list_(pa.bool_()),
-    pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
-)
+def arrays_of(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column without nulls."""
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), ends[:-1]) if len(column) else []
 
 
 def format_conversations(rows: DataFrame, tokenizer: str) -> DataFrame:
@@ -122,12 +162,21 @@ def format_conversations(rows: DataFrame, tokenizer: str) -> DataFrame:
             yield current, turns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, kind, done, chars = chat_tokenizer(tokenizer), None, [], 0
+        encoder, kind, done, chars = chat_encoder(tokenizer), None, [], 0
 
         def out() -> pa.RecordBatch:
-            columns = list(zip(*done))
+            conv_ids, texts, counts, ids, masks, spans = zip(*done)
+            pairs = np.concatenate(spans)
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(x), t) for x, t in zip(columns, (kind, *_TYPES))], names=names
+                [
+                    pa.array(conv_ids, kind),
+                    pa.array(texts, pa.string()),
+                    pa.array(counts, pa.int64()),
+                    listed(ids, pa.array(np.concatenate(ids))),
+                    listed(masks, pa.array(np.concatenate(masks))),
+                    listed(spans, pa.StructArray.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["start", "end"])),
+                ],
+                names=names,
             )
 
         def noted() -> Iterator[pa.RecordBatch]:

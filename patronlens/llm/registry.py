@@ -81,14 +81,14 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = chat.chat_tokenizer(path)
+        encoder = chat.chat_encoder(path)
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(1, 4)]
+            columns = [batch.column(1).to_pylist(), *(chat.arrays_of(batch.column(i)) for i in (2, 3))]
             found = []
             for text, ids, mask in zip(*columns):
                 turns = chat.parse(text)
                 told = "".join(f"{role}\n{said}\n" for role, said in turns)
-                loss = "".join(chat.unescape(part) for part in chat.masked_text(tokenizer, ids, mask))
+                loss = "".join(chat.unescape(part) for part in chat.masked_text(encoder, ids, mask))
                 sums = [hashlib.sha256(x.encode()).hexdigest() for x in (told, loss)]
                 found.append((len(turns), sums[0], len(loss), sums[1], len(text)))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())

@@ -53,10 +53,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
         for text in texts:
-            yield self._ids(text) if len(text) <= SEGMENT else b"".join(map(self._ids, _segments(text)))
+            yield self._ids(text) if len(text) <= SEGMENT else b"".join(map(self._ids, segments(text)))
 
 
-def _segments(text: str) -> Iterator[str]:
+def segments(text: str) -> Iterator[str]:
     """A long text cut where the tokenizer cuts it too."""
     start = 0
     while place := BEFORE_WORD.search(text, start + SEGMENT):

@@ -3,29 +3,58 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from public_tokenizers import path as tokenizer_path
+from tokenizers.pre_tokenizers import ByteLevel
 
-from patronlens.llm import chat
+from patronlens.llm import chat, tokens
 
 PATH = tokenizer_path("byte_bpe_50k.json")
-TOKENIZER = chat.chat_tokenizer(PATH)
+TOKENIZER, ENCODER = chat.chat_tokenizer(PATH), chat.chat_encoder(PATH)
+OFFSETS = chat.chat_tokenizer(PATH)  # offsets that keep the blank in front of a word
+OFFSETS.pre_tokenizer = ByteLevel(add_prefix_space=False, trim_offsets=False)
 HOSTILE = st.lists(
     st.sampled_from(["<|im_end|>", "<|im_start|>", "<|im_sep|>", "<|endoftext|>", "<", "|", "\\", "<\\|", "assistant", "\n", " ", "  ", "é", "😀", "x", "'s", "12"])
 ).map("".join)
 
 
 def loss_text(ids, mask):
-    return "".join(chat.unescape(part) for part in chat.masked_text(TOKENIZER, ids, mask))
+    return "".join(chat.unescape(part) for part in chat.masked_text(ENCODER, np.asarray(ids), np.asarray(mask)))
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.one_of(st.sampled_from(["user", "assistant", "system"]), HOSTILE), HOSTILE), max_size=6))
 def test_turns_and_loss_are_read_back(turns):
-    formatted, n, ids, mask, spans = chat.format_turns(TOKENIZER, turns)
+    formatted, n, ids, mask, spans = chat.format_turns(ENCODER, turns)
     assert n == len(turns) and chat.parse(formatted) == turns
     learned = [text for role, text in turns if role == "assistant"]
-    assert [chat.unescape(formatted[s["start"] : s["end"]]) for s in spans] == learned
+    assert [chat.unescape(formatted[start:end]) for start, end in spans] == learned
     assert loss_text(ids, mask) == "".join(learned)
-    assert TOKENIZER.decode(ids, skip_special_tokens=False) == formatted
+    assert TOKENIZER.decode(ids.tolist(), skip_special_tokens=False) == formatted
+    assert TOKENIZER.encode(formatted, add_special_tokens=False).ids == ids.tolist()
+
+
+def characters_of_bytes(text):
+    """For each byte of a text the number of its character."""
+    return [i for i, c in enumerate(text) for _ in c.encode()] + [len(text)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), st.one_of(HOSTILE, st.text())), max_size=4))
+def test_ids_and_offsets_are_those_of_the_library(turns):
+    formatted, _ = chat.render(turns)
+    ids, offsets = ENCODER.encode(formatted)
+    encoding = OFFSETS.encode(formatted, add_special_tokens=False)
+    at = characters_of_bytes(formatted)
+    assert ids.tolist() == encoding.ids
+    assert [(at[a], at[b - 1] + 1) for a, b in offsets.tolist()] == encoding.offsets
+
+
+def test_long_conversations_are_cut_where_the_tokenizer_cuts(monkeypatch):
+    turns = [("assistant" if i % 2 else "user", f"né <|im_end|>  word{i}\n\n and  12 ' {'x' * (i % 50)}") for i in range(3_000)]
+    formatted, _ = chat.render(turns)
+    whole = TOKENIZER.encode(formatted, add_special_tokens=False).ids
+    for size in (7, 1_000, 1 << 20):
+        monkeypatch.setattr(tokens, "SEGMENT", size)
+        assert ENCODER.encode(formatted)[0].tolist() == whole
 
 
 @settings(max_examples=300, deadline=None)
