@@ -11,8 +11,9 @@ are left out of the suffix array. Nothing else is left out. Words are compared b
 
 The items go to the tasks in blocks of about ``BLOCK_CHARS`` characters, so a benchmark of any size is searched whole and a broadcast is
 bounded. With one block documents are never shuffled. With more the documents are numbered and written once; each block reads ids and texts
-of that table and gives the documents with matches, which are put together by number. No task holds more than a shard and a block, and the item ids
-of documents leave a task ``IDS_IN_A_BATCH`` at a time, since many items may share a window with many documents.
+of that table and gives the documents with matches, which are put together by number. Many items may share a window with many documents: a document
+then carries the names of its sets of items, and ids are joined to each different combination of sets last. No task holds more than a shard
+and a block, and ids leave a task ``IDS_IN_A_BATCH`` at a time.
 
 Defined cases: a null or empty text has no words, no hits and stays; an item of no words has no window; repeated documents each get
 their own result; items that share an id count once; a null item_id is written as an empty text; null doc_ids and further columns pass
@@ -21,7 +22,8 @@ through, those named like a result are replaced; an empty benchmark hits nothing
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,7 +40,6 @@ WINDOW = 10
 SHARD_BYTES = 8 << 20
 BLOCK_CHARS = 4_000_000
 IDS_IN_A_BATCH = 200_000  # or those of one document
-JOINED = 8  # tables of matches that are joined in one step
 KEPT_IDS = 4_000_000  # of sets of items that several documents share
 # The bytes of a word after lower-casing; every byte of a character beyond ASCII is above 0x7F.
 WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
@@ -313,14 +314,24 @@ def item_blocks(benchmark: DataFrame, window: int, block_chars: int) -> tuple[in
 
 FOUND = "found struct<n_words: long, item_ids: array<string>, longest_match: long, spans: array<struct<start: long, end: long>>>"
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+BLOCK_FOUND = pa.schema(
+    [
+        ("number", pa.int64()),
+        ("n_words", pa.int64()),
+        ("longest_match", pa.int64()),
+        ("spans", pa.list_(SPAN)),
+        ("item_set", pa.binary()),
+        ("members", pa.list_(pa.string())),
+    ]
+)
 
 
 def _listed(lengths: list[int], values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), values)
 
 
-def _matches(rows: DataFrame, suffixes: Suffixes, shard_bytes: int, only_found: bool) -> DataFrame:
-    """The first column of ``rows`` (something, text) and ``found``, the matches of one block of items; of all rows or those that have any."""
+def _matches(rows: DataFrame, suffixes: Suffixes, shard_bytes: int) -> DataFrame:
+    """The first column of ``rows`` (something, text) and ``found``, the matches, if there is one block of items."""
     block = rows.sparkSession.sparkContext.broadcast(tuple(vars(suffixes).values()))  # plain values
     first = rows.schema[0]
 
@@ -346,7 +357,7 @@ def _matches(rows: DataFrame, suffixes: Suffixes, shard_bytes: int, only_found:
         for batch in slices_by_bytes(batches, 1, shard_bytes):
             words, longest, spans, windows = scan_texts(batch.column(1), suffixes)
             at, ids, size = [], [], 0
-            for d in sorted(spans) if only_found else range(batch.num_rows):
+            for d in range(batch.num_rows):
                 items = sets.of(windows[d]) if d in windows else nothing
                 if at and size + len(items) > IDS_IN_A_BATCH:
                     yield batch_of(batch, at, ids, words, longest, spans)
@@ -379,32 +390,90 @@ def _united(spans: Column) -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, state, add, lambda s: F.array_append(s["done"], s["last"]))).otherwise(nothing)
 
 
-def _in_blocks(rows: DataFrame, blocks: Iterator[Suffixes], shard_bytes: int) -> DataFrame:
-    """(row, found) for several blocks: the rows are numbered and written once, and read by each block."""
-    numbered = written(rows.select(F.monotonically_increasing_id().alias("number"), "row", "text"), "decontaminated")
-    found = []
-    for i, suffixes in enumerate(blocks):  # one block is on the driver at a time
-        found.append(written(_matches(numbered.select("number", "text"), suffixes, shard_bytes, i > 0), "matches"))
-    while len(found) > JOINED:
-        found = [written(reduce(_both, found[i : i + JOINED]), "matches") for i in range(0, len(found), JOINED)]
-    return numbered.select("number", "row").join(reduce(_both, found).hint("merge"), "number").select("row", "found")
+def _matches_written(found: DataFrame) -> DataFrame:
+    """Matches as a table of small row groups: Spark reads thousands of rows at once, but of one group, and a row may hold every item."""
+    path = new_path(found.sparkSession, "matches")
+    found.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
+    return found.sparkSession.read.schema(found.schema).parquet(path)
 
 
-def _both(a: DataFrame, b: DataFrame) -> DataFrame:
-    """The matches of two tables (number, found). Sorted and joined row by row, since a document may have any number of items."""
-    a, b = a.select("number", F.col("found").alias("a")), b.select("number", F.col("found").alias("b"))
+def _block_matches(numbered: DataFrame, suffixes: Suffixes, shard_bytes: int, block: int) -> DataFrame:
+    """The matches of one of several blocks: of all texts for the first block, else of those that have any. The items of a document are
+    the name of their set; ``members`` are there where a task meets a set that it does not remember, else null."""
+    shared = numbered.sparkSession.sparkContext.broadcast(tuple(vars(suffixes).values()))  # plain values
 
-    def all_of(name: str, put_together: Callable[[Column, Column], Column]) -> Column:
-        x, y = F.col(f"a.{name}"), F.col(f"b.{name}")
-        return F.coalesce(put_together(x, y), x, y)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        suffixes = Suffixes(*shared.value)
+        sets = ItemSets(suffixes)
 
+        def batch_of(done: list[tuple]) -> pa.RecordBatch:
+            arrays = [pa.array(list(column), field.type) for column, field in zip(zip(*done), BLOCK_FOUND)]
+            return pa.RecordBatch.from_arrays(arrays, schema=BLOCK_FOUND)
+
+        for batch in slices_by_bytes(batches, 1, shard_bytes):
+            words, longest, spans, windows = scan_texts(batch.column(1), suffixes)
+            done, size = [], 0
+            for d in range(batch.num_rows) if block == 0 else sorted(spans):
+                name, members = None, None
+                if d in windows:
+                    name = hashlib.sha256(b"%d:" % block + windows[d].tobytes()).digest()
+                    if windows[d].tobytes() not in sets.kept:
+                        members = [suffixes.item_ids[i] for i in sets.of(windows[d]).tolist()]
+                        size += len(members)
+                own = [{"start": start, "end": end} for start, end in spans.get(d, [])]
+                done.append((batch.column(0)[d].as_py(), int(words[d]), int(longest[d]), own, name, members))
+                if size > IDS_IN_A_BATCH:
+                    yield batch_of(done)
+                    done, size = [], 0
+            if done:
+                yield batch_of(done)
+
+    kinds = "number long, n_words long, longest_match long, spans array<struct<start: long, end: long>>, item_set binary, members array<string>"
+    return numbered.select("number", "text").mapInArrow(scan, kinds)
+
+
+def _in_blocks(rows: DataFrame, blocks: Iterator[Suffixes], shard_bytes: int) -> DataFrame:
+    """(row, found) for several blocks: the rows are numbered and written once, and read by each block.
+
+    Documents carry the names of their sets of items from block to block; ids are put together once for each different combination
+    of sets, so what is shuffled does not grow with documents times items.
+    """
+    numbered = written(rows.select(F.monotonically_increasing_id().alias("number"), "row", "text"), "decontaminated")
+    found = reduce(
+        DataFrame.unionAll,  # one block is on the driver at a time
+        (written(_block_matches(numbered, suffixes, shard_bytes, i), "matches") for i, suffixes in enumerate(blocks)),
+    )
+    nobody = F.array(F.col("number").cast("string").cast("binary"))  # no set is named so; spreads the documents without any
+    texts = written(
+        found.groupBy("number")
+        .agg(
+            F.max("n_words").alias("n_words"),
+            F.max("longest_match").alias("longest_match"),
+            F.flatten(F.collect_list("spans")).alias("spans"),
+            F.sort_array(F.collect_set("item_set")).alias("sets"),
+        )
+        .select("number", "n_words", "longest_match", _united(F.col("spans")).alias("spans"), F.when(F.size("sets") > 0, F.col("sets")).otherwise(nobody).alias("sets")),
+        "matches",
+    )
+    members = found.where("members IS NOT NULL").groupBy("item_set").agg(F.first("members").alias("members"))
+    items = (
+        texts.where(F.size("spans") > 0)
+        .select("sets")
+        .distinct()
+        .withColumn("item_set", F.explode("sets"))
+        .join(members.hint("merge"), "item_set")
+        .groupBy("sets")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("members")))).alias("item_ids"))
+    )
     together = F.struct(
-        F.coalesce("a.n_words", "b.n_words").alias("n_words"),
-        all_of("item_ids", lambda x, y: F.array_sort(F.array_union(x, y))).alias("item_ids"),
-        F.greatest("a.longest_match", "b.longest_match").alias("longest_match"),
-        all_of("spans", lambda x, y: _united(F.concat(x, y))).alias("spans"),
+        "n_words", F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "longest_match", "spans"
+    )
+    return (
+        numbered.select("number", "row")
+        .join(texts.hint("merge"), "number")
+        .join(items.hint("merge"), "sets", "left")
+        .select("row", together.alias("found"))
     )
-    return a.join(b.hint("merge"), "number", "full").select("number", together.alias("found"))
 
 
 def find_contamination(
@@ -423,7 +492,7 @@ def find_contamination(
     )
     count, blocks = item_blocks(benchmark, window, block_chars)
     if count == 1:
-        rows = _matches(rows, next(blocks), shard_bytes, False)
+        rows = _matches(rows, next(blocks), shard_bytes)
     else:
         rows = _in_blocks(rows, blocks, shard_bytes)
     hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
