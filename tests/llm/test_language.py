@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -78,10 +80,77 @@ def test_awkward_rows_and_nothing_to_learn(spark, docs, model):
     assert language.train(df.withColumn("lang", F.lit("aa"))).languages == ["aa"]
 
 
-def test_temperature_lowers_the_loss_of_overconfident_scores():
+def test_temperature_is_that_of_the_least_loss():
     texts = [(f" {'ab' if i % 2 else 'cd'} ", (i % 2) ^ (i % 7 == 0), i % 3 == 0) for i in range(300)]
-    _, temperature = language.fit(texts, 2, np.ones(language.BUCKETS))
-    assert temperature > 0
+    weights, temperature = language.fit(texts, 2, np.ones(language.BUCKETS))
+    held = [(Counter(plain_features(clean)), label) for clean, label, calibrates in texts if calibrates]
+
+    def loss(t):
+        total = 0.0
+        for counts, label in held:
+            chances = plain_chances(counts, weights, t)
+            total -= math.log(chances[label])
+        return total / len(held)
+
+    assert loss(temperature) < loss(1.0) or temperature == 1.0
+    assert all(loss(temperature) <= loss(temperature * step) + 1e-6 for step in (0.5, 0.9, 1.1, 2.0))
+
+
+def plain_features(clean):
+    """Hashed runs of one to three characters, one after another."""
+    found = []
+    for start in range(len(clean)):
+        h = 0
+        for order, c in enumerate(clean[start : start + language.ORDER], 1):
+            h = (h + ord(c) + order) * 0x9E3779B97F4A7C15 % (1 << 64)
+            h ^= h >> 29
+            found.append((h >> 7) % language.BUCKETS)
+    return found
+
+
+def plain_chances(counts, weights, temperature):
+    runs = sum(counts.values())
+    logits = [
+        (sum(n * float(weights[f, c]) for f, n in counts.items()) / runs + float(weights[-1, c])) / temperature
+        for c in range(weights.shape[1])
+    ]
+    raised = [math.exp(x - max(logits)) for x in logits]
+    return [x / sum(raised) for x in raised]
+
+
+def test_predictions_equal_a_plain_computation(docs, model):
+    for row in language.identify(docs, model).collect():
+        chances = plain_chances(Counter(plain_features(language.letters(row.text))), model.weights, model.temperature)
+        best = max(range(len(chances)), key=chances.__getitem__)
+        assert abs(row.score - chances[best]) < 1e-9
+        assert row.lang_pred == model.languages[best] or abs(chances[best] - sorted(chances)[-2]) < 1e-9
+
+
+def test_learner_equals_a_plain_one():
+    random = np.random.default_rng(4)
+    leader = language.Leader(30, 3)
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(key):
+        if abs(z[key]) <= leader.l1:
+            return 0.0
+        return -(z[key] - math.copysign(leader.l1, z[key])) / ((leader.beta + math.sqrt(n[key])) / leader.rate + leader.l2)
+
+    for _ in range(200):
+        rows = np.sort(random.choice(30, 6, replace=False))
+        values, label = random.random(6), int(random.integers(3))
+        leader.learn(rows, values, label)
+        own = {(r, c): weight((r, c)) for r in rows.tolist() for c in range(3)}
+        logits = [sum(v * own[r, c] for r, v in zip(rows.tolist(), values.tolist())) for c in range(3)]
+        raised = [math.exp(x - max(logits)) for x in logits]
+        for (r, c), w in own.items():
+            g = values[rows.tolist().index(r)] * (raised[c] / sum(raised) - (c == label))
+            z[r, c] += g - (math.sqrt(n[r, c] + g * g) - math.sqrt(n[r, c])) / leader.rate * w
+            n[r, c] += g * g
+    for r in range(30):
+        for c in range(3):
+            assert abs(leader.z[r, c] - z[r, c]) < 1e-9 and abs(leader.n[r, c] - n[r, c]) < 1e-9
+            assert abs(leader.weights()[r, c] - weight((r, c))) < 1e-9
 
 
 def test_no_language_is_dropped(spark, monkeypatch):

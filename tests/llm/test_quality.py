@@ -75,6 +75,26 @@ def test_margin_is_the_difference_of_the_sums():
     assert margins[0] > 0 > margins[1] and margins[2] == margins[3] == 0
 
 
+def test_scores_equal_a_plain_computation(labelled):
+    import zstandard
+
+    model = quality.train(*labelled)
+
+    def size(content, piece):
+        dictionary = zstandard.ZstdCompressionDict(content)
+        dictionary.precompute_compress(level=quality.LEVEL)
+        options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=dictionary, **options).compress(piece))
+
+    rows = quality.score(labelled[0], model).orderBy("doc_id").limit(25).collect()
+    for row in rows:
+        data = (row.text or "").encode()
+        pieces = [data[at : at + quality.PIECE] for at in range(0, len(data), quality.PIECE)]
+        margin = sum(size(model.bad, piece) - size(model.good, piece) for piece in pieces) / max(1, len(data))
+        expected = 1 / (1 + np.exp(-(model.slope * margin + model.offset)))
+        assert abs(row.score - expected) < 1e-9 and row.predicted == int(expected >= 0.3)
+
+
 def test_logistic_curve():
     draw = np.random.default_rng(2)
     x = draw.normal(0, 0.05, 20_000)
