@@ -5,7 +5,8 @@ their ends left out. All occurrences of a window in the corpus are ordered by do
 first are covered, and covered lines are removed.
 
 Defined cases: a null text stays null and has no lines; a text of fewer than three lines has no window and stays; windows of blank
-lines only are not compared; a text that loses every line becomes empty. Rows that repeat both doc_id and text are one document and
+lines only are not compared; a text that loses every line becomes empty. A text of any length is taken
+whole, its lines and hashes in one row of a task. Rows that repeat both doc_id and text are one document and
 get the same decision; rows that share a doc_id but not the text are told apart by a hash of the text. A null doc_id comes first.
 Further columns pass through under any name, but n_lines and n_removed are replaced. An empty table gives an empty table.
 """
