@@ -38,7 +38,7 @@ SHINGLE = 3
 DISTANCE = 2
 SEED = 42
 CROWD = 512
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 18  # the places of its words and bytes take some forty times as much
 BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 # Words are runs of bytes other than blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = ~byte_class((0x09, 0x0D), (0x20, 0x20))

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from patronlens.llm import simhash
+from patronlens.llm.bytewords import slices_by_bytes
 from tests.llm.samples import AWKWARD, LONG, documents, invented
 
 
@@ -39,6 +41,17 @@ def test_fingerprints_equal_brute_force():
     assert simhash.fingerprints_of(pa.array([LONG[:50_000]])).tolist() == [brute_print(LONG[:50_000])]
 
 
+def test_the_scan_of_a_large_batch_needs_little_memory():
+    batch = pa.RecordBatch.from_arrays([pa.array(invented(7, 100) * 60)], names=["text"])
+    assert batch.nbytes > 1 << 20
+    tracemalloc.start()
+    for part in slices_by_bytes(iter([batch]), 0, simhash.SLICE_BYTES):
+        simhash.fingerprints_of(part.column(0))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 16 << 20
+
+
 def test_the_codes_are_perfect_and_homes_are_met():
     code = simhash.covering_code()  # raises if a part is not perfect
     draw = np.random.default_rng(1)
