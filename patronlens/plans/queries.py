@@ -41,7 +41,7 @@ from patronlens.plans.training import (
     train_churn_model,
 )
 from patronlens.plans.training import feature_importances as importances_of
-from patronlens.shared import delete, deleted_afterwards, kept_afterwards, new_path, on_leaving, write_table, written
+from patronlens.shared import delete, deleted_afterwards, kept_afterwards, new_path, on_leaving, spread, write_table, written
 from patronlens.sources import sql_functions, star
 from patronlens.sources.csv_files import read_csv, write_csv
 from patronlens.sources.feature_state import FeatureState, Fold
@@ -216,7 +216,10 @@ def daily_pipeline(spark: SparkSession, folder: str) -> DataFrame:
         write_csv(df.select([complete[name].alias(name) for name in C.RAW_TABLES[table].names]), landed[table])
     warehouse = _new_warehouse(spark)
     run = run_daily(warehouse, ModelStore(spark, new_path(spark, "models")), AS_OF, landed, append=True)
-    names = warehouse.name("features", "user_features"), warehouse.name("features", "thresholds")
+    view = f"features_{uuid.uuid4().hex}"
+    spread(warehouse.table("features", "user_features")).createOrReplaceTempView(view)
+    on_leaving(lambda: spark.catalog.dropTempView(view))
+    names = view, warehouse.name("features", "thresholds")
     called = spark.sql(sql_functions.prediction_query(*names)).select("user_id", F.col("churn_probability").alias("called"))
     agrees = (F.abs(F.col("churn_probability") - F.col("called")) < 1e-12).alias("function_agrees")
     checked = run.predictions.join(called, "user_id").select("*", *_score_checks(), agrees)
@@ -593,6 +596,7 @@ def _score_checks() -> list[Column]:
 def trained_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Publish each candidate, load it back, score every customer: are the scores those of the fitted model?"""
     stored, result = _trained(spark, folder)
+    stored = spread(stored)
     store, tables = ModelStore(spark, new_path(spark, "models")), []
     for name, fitted in result.fitted.items():
         model = as_churn_model(name, result.model.thresholds, fitted)
@@ -615,7 +619,7 @@ def scoring_functions_by_name(spark: SparkSession, folder: str) -> DataFrame:
     limits = engineered.fit_thresholds(stored)
     fixed = scoring.ChurnModel(LOGISTIC, limits, FIXED_MODEL)
     forest = scoring.ChurnModel(FOREST, limits, pipeline=result.fitted[FOREST])
-    stored.createOrReplaceTempView("features_to_score")
+    spread(stored).createOrReplaceTempView("features_to_score")
     arguments = sql_functions.model_arguments(f"parquet.`{thresholds}`")
     paths = []
     for model in (fixed, forest, fixed):
@@ -625,7 +629,7 @@ def scoring_functions_by_name(spark: SparkSession, folder: str) -> DataFrame:
             f"predict_churn_binary({arguments}) AS churn_prediction, predict_churn({arguments}) AS churn FROM features_to_score"
         )
         paths.append(write_table(called, "called"))
-    expected = scoring.score_features(stored, forest).select("user_id", F.col("churn_probability").alias("expected"))
+    expected = scoring.score_features(spread(stored), forest).select("user_id", F.col("churn_probability").alias("expected"))
     by_forest = spark.read.parquet(paths[1]).join(expected, "user_id")
     agrees = (F.abs(F.col("churn_probability") - F.col("expected")) < 1e-12).alias("forest_agrees")
     again = spark.read.parquet(paths[2]).exceptAll(spark.read.parquet(paths[0])).count() == 0

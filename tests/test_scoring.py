@@ -9,7 +9,7 @@ from patronlens.operators import scoring
 from patronlens.operators.dataset import with_class_weight
 from patronlens.operators.engineered import Thresholds, fit_thresholds, model_matrix, threshold_table
 from patronlens.plans import training
-from patronlens.shared import new_path, write_table
+from patronlens.shared import new_path, spread, write_table
 from patronlens.sources import sql_functions
 from patronlens.sources.model_store import ModelStore
 from patronlens.sources.warehouse import Warehouse
@@ -167,6 +167,23 @@ def test_the_view_outlives_every_deployment(spark, features, forest, boosted):
     assert view.columns == [*features.columns, "churn_probability", "churn_prediction"]
 
 
+def test_leaves_of_stored_trees_lead_to_themselves(spark, forest):
+    """So a step of a walk is one comparison, without asking whether it is at a leaf."""
+    trees = sql_functions.tree_table(spark, forest).first()["trees"]
+    assert len(trees) == 8
+    for tree, own in zip(trees, forest.stages[-1].trees):
+        leaves = [i for i, (left, right) in enumerate(zip(tree["left"], tree["right"])) if left == right]
+        assert leaves == [i for i in leaves if tree["left"][i] == i] and len(tree["left"]) == own.numNodes == 2 * len(leaves) - 1
+        assert min(tree["feature"]) >= 0
+
+
+def test_costly_rows_are_spread_over_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
+    wide = spark.range(10).repartition(cores + 3)
+    assert spread(wide) is wide
+
+
 def test_two_runs_never_publish_one_version(spark):
     root = new_path(spark, "models")
     first, second = ModelStore(spark, root), ModelStore(spark, root)
