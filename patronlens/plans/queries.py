@@ -221,6 +221,7 @@ def daily_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     on_leaving(lambda: spark.catalog.dropTempView(view))
     names = view, warehouse.name("features", "thresholds")
     called = spark.sql(sql_functions.prediction_query(*names)).select("user_id", F.col("churn_probability").alias("called"))
+    called = written(called, "called")  # so that the walk is a job of its own, not a broadcast with its time limit
     agrees = (F.abs(F.col("churn_probability") - F.col("called")) < 1e-12).alias("function_agrees")
     checked = run.predictions.join(called, "user_id").select("*", *_score_checks(), agrees)
     return _rounded(checked.drop("churn_probability", "churn_prediction", "called"), ["recency_score"])
