@@ -122,3 +122,31 @@ def test_forests_of_many_rows_are_grown_stored_and_scored_alike(spark, features,
     assert before == after and len({row[0] for row in before}) > 100
     assert len(tree_table(spark, many.model.pipeline).first()["trees"]) == 20
     assert isinstance(many.model, ChurnModel)
+
+
+def test_scores_by_block_are_those_of_the_library(rows, fitted, monkeypatch):
+    monkeypatch.setattr(forest, "SCORED", 64)
+    edge = rows.limit(1).withColumns({name: F.lit(value) for name, value in zip(INPUTS, [float("inf"), float("-inf"), -0.0] * 4)})
+    one_class = forest.fit_forest(rows.where("label = 0"), INPUTS, PIPELINE(training.FOREST, 500, SETTINGS))
+    library = PIPELINE(training.FOREST, 500, SETTINGS).fit(rows)
+    for model in (fitted, one_class, library):
+        found = forest.scored_by(model, rows.union(edge), INPUTS)
+        expected = model.transform(rows.union(edge)).select(
+            "user_id", "label", F.col("prediction").cast("int"), vector_to_array("probability")[1].alias("churn_probability")
+        )
+        assert found.columns == expected.columns and found.count() == 501
+        assert sorted(found.collect()) == sorted(expected.collect())  # to the last bit
+    missing = rows.limit(1).withColumn(INPUTS[3], F.lit(float("nan")))
+    with pytest.raises(Exception, match="without a value"):
+        forest.scored_by(fitted, missing, INPUTS).collect()
+
+
+def test_test_rows_of_grown_forests_are_scored_by_block(features, monkeypatch):
+    scored = []
+    monkeypatch.setattr(training, "LIBRARY_ROWS", 100)
+    monkeypatch.setattr(training, "scored_by", lambda *a: scored.append(a) or forest.scored_by(*a))
+    settings = training.TrainingSettings(candidates=(training.FOREST,), trees=4, depth=3, folds=2)
+    result = training.train_churn_model(features, settings)
+    assert len(scored) == 3
+    table = result.scored[training.FOREST]
+    assert table.count() == result.split.where("is_test").count()

@@ -212,3 +212,49 @@ def test_scoring_sample_and_summary(features):
     assert summary["total_customers"] == 300
     assert summary["predicted_churned"] == predictions.where("churn_probability > 0.5").count()
     assert scoring.prediction_summary(predictions.limit(0)).first() == (0, 0, 0, None)
+
+
+def test_a_step_of_a_walk_reads_one_number_and_one_comparison(spark, forest, boosted):
+    for fitted in (forest, boosted):
+        trees = sql_functions.tree_table(spark, fitted).first()["trees"]
+        walk = sql_functions.walk_of(trees)
+        made = {(f, t) for tree in trees for i, (f, t) in enumerate(zip(tree["feature"], tree["threshold"])) if tree["left"][i] != i}
+        assert len(walk.comparisons) == len(made) and set(walk.comparisons) == made  # each once, however many nodes make it
+        assert 1 <= walk.depth <= fitted.stages[-1].getMaxDepth() and walk.kind == "INT"
+        draw = random.Random(1)
+        for _ in range(50):
+            x = [draw.choice([0.0, 1.0, draw.uniform(0, 400), draw.uniform(0, 20_000), math.inf]) for _ in C.MODEL_FEATURES]
+            above = [0, *[int(not x[f] <= t) for f, t in walk.comparisons]]
+            for tree, nodes, values in zip(trees, walk.nodes, walk.values, strict=True):
+                at = 0
+                while tree["left"][at] != at:
+                    at = tree["left"][at] if x[tree["feature"][at]] <= tree["threshold"][at] else tree["right"][at]
+                n = nodes[0]
+                for _ in range(walk.depth):
+                    n = nodes[n >> walk.bits | above[n & 2**walk.bits - 1]]
+                assert values[n >> walk.bits] == tree["value"][at]
+
+
+def test_walks_of_large_trees_use_long_numbers(spark, features, forest, monkeypatch):
+    wide = sql_functions.Walk([[0] * 9], [[0.0] * 9], [], 28, 1)
+    assert wide.kind == "BIGINT"
+    rows = spark.read.parquet(write_table(features.union(odd_rows(features)), "rows"))
+    rows.createOrReplaceTempView("long_rows")
+    threshold_table(features).createOrReplaceTempView("long_limits")
+    model = scoring.ChurnModel("RandomForest", fit_thresholds(features), pipeline=forest)
+    called = f"SELECT user_id, predict_churn_probability({sql_functions.model_arguments('long_limits')}) p FROM long_rows"
+    sql_functions.deploy_functions(spark, "default", model)
+    short = sorted(spark.sql(called).collect())
+    monkeypatch.setattr(sql_functions.Walk, "kind", "BIGINT")
+    sql_functions.deploy_functions(spark, "default", model)
+    assert sorted(spark.sql(called).collect()) == short
+
+
+def test_trees_without_a_split_are_walked(spark, features):
+    matrix = with_class_weight(training.pipeline_inputs(model_matrix(features, THRESHOLDS)).where("label = 0"))
+    pipeline = training.candidate_pipeline(training.FOREST, 100, training.TrainingSettings(trees=3))
+    bare = training.fit_forest(matrix, [f"_in_{name}" for name in C.MODEL_FEATURES], pipeline)
+    assert bare.stages[-1].totalNumNodes == 3
+    sql_functions.deploy_functions(spark, "default", scoring.ChurnModel("RandomForest", THRESHOLDS, pipeline=bare))
+    zeros = ", ".join(["0"] * 12)
+    assert spark.sql(f"SELECT predict_churn_probability({zeros}) p, predict_churn({zeros}) c").first() == (0.0, False)
